@@ -14,14 +14,17 @@ from roadlake.llm.queries import TOXIC, bpe_digests
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; columns as they came."""
-    judged = quality_mcd.quality_verdicts(docs.select(*docs.columns, F.col("text").alias("__kept__")), [*docs.columns, "__kept__"])
-    return judged.filter("kept").select(*[F.col("__kept__").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    verdicts = {"kept", "base_failed", "distance", *(n for n, _ in quality_mcd.STATS)}
+    named = docs.select(*[F.col(f"`{c}`").alias(f"own {c}") if c in verdicts else F.col(f"`{c}`") for c in docs.columns])
+    judged = quality_mcd.quality_verdicts(named, named.columns, keep_text=True)
+    return judged.filter("kept").select(*[F.col(f"`own {c}`").alias(c) if c in verdicts else F.col(f"`{c}`") for c in docs.columns])
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the toxic score; the classifiers learn from the labels of those that came here."""
-    scored = toxicity_nnpu.score_toxicity(docs.select(*docs.columns, F.col("text").alias("__kept__")), table(spark, sf_dir, "labels"), [*docs.columns, "__kept__"])
-    return scored.filter(F.col("toxic_score") < TOXIC).select(*[F.col("__kept__").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    named = docs.withColumnRenamed("toxic_score", "own toxic_score")
+    scored = toxicity_nnpu.score_toxicity(named, table(spark, sf_dir, "labels"), named.columns, keep_text=True)
+    return scored.filter(F.col("toxic_score") < TOXIC).withColumnRenamed("own toxic_score", "__own__").drop("toxic_score").withColumnRenamed("__own__", "toxic_score").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

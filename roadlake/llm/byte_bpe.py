@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from roadlake.llm.common import map_text
 
 #: Pre-tokens that a task remembers; the memory is emptied when it is full.
-CACHE = 300_000
+CACHE = 100_000
 #: Longer pre-tokens are encoded anew each time, so the memory stays small.
 CACHED_CHARS = 64
 #: Bytes of unknown pre-tokens that are merged together.

@@ -44,11 +44,12 @@ def map_text(
     """Run rows() over the texts of each Arrow batch and put its columns beside the kept ones.
 
     rows() gets UTF-8 bytes (b"" for a null text) and gives one list for each output column. A column of
-    ``out`` replaces a kept column of the same name. Texts reach Python as bytes, so nothing is decoded twice.
+    ``out`` replaces a kept column of the same name; with keep_text the text itself comes through as well. Texts reach Python as bytes, so nothing is decoded twice.
     """
     names = {n for n, _ in out}
-    keep = [c for c in dict.fromkeys(keep) if c not in names and (keep_text or c != text_col)]
-    schema = T.StructType([f for f in df.select(*[F.col(f"`{c}`") for c in keep]).schema] + [T.StructField(n, t) for n, t in out])
+    keep = [c for c in dict.fromkeys(keep) if c not in names and c != text_col]
+    texts = [text_col] if keep_text and text_col not in names else []
+    schema = T.StructType([f for f in df.select(*[F.col(f"`{c}`") for c in keep]).schema] + [T.StructField(c, T.StringType()) for c in texts] + [T.StructField(n, t) for n, t in out])
     arrow_types = [_arrow(t) for _, t in out]
     source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("binary").alias("__text__"))
 
@@ -57,8 +58,8 @@ def map_text(
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 made = rows([x or b"" for x in part.column(len(keep)).to_pylist()])
-                arrays = [part.column(i) for i in range(len(keep))] + [pa.array(v, t) for v, t in zip(made, arrow_types, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *[n for n, _ in out]])
+                arrays = [part.column(i) for i in range(len(keep))] + [part.column(len(keep)).cast(pa.string()) for _ in texts] + [pa.array(v, t) for v, t in zip(made, arrow_types, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *texts, *[n for n, _ in out]])
 
     return source.mapInArrow(run, schema)
 

@@ -12,7 +12,7 @@ scoring is one pass over the texts without a shuffle.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pandas as pd
@@ -23,12 +23,12 @@ from pyspark.sql import types as T
 from roadlake.llm.common import crc_mod, cut, map_text
 
 #: Bounds of the training sample, in rows, and the number of classifiers that share it out.
-MAX_POSITIVE, MAX_UNLABELLED, CLASSIFIERS = 6_000, 12_000, 3
+MAX_POSITIVE, MAX_UNLABELLED, CLASSIFIERS = 3_000, 6_000, 3
 #: A feature is used if its count among positives is this many standard deviations from its share of all sample documents;
 #: the log ratio that scales it is shrunken by this many documents; weights are held back by PULL / number of positives.
 LEAST_Z, SHRINK, PULL = 3.0, 5.0, 0.02
 #: A task remembers the features of this many words.
-CACHE = 300_000
+CACHE = 150_000
 
 _words = re.compile(r"\w+").findall
 
@@ -62,14 +62,17 @@ def train_nnpu(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, positive:
     return w, b
 
 
-def fit_sample(features: list[set[str]], positive: np.ndarray, prior: float) -> tuple[dict[str, float], float]:
-    """One classifier from the feature sets of sample documents: feature weights (scale included) and bias."""
+def fit_sample(features: Iterable[set[str]], positive: np.ndarray, prior: float) -> tuple[dict[str, float], float]:
+    """One classifier from the feature sets of sample documents: feature weights (scale included) and bias.
+
+    The sets are turned into numbers one by one, so only one of them is held at a time."""
     n_pos, n_unl = int(positive.sum()), int((~positive).sum())
     if not n_pos or not n_unl:
         return {}, float(np.log(max(prior, 1e-6) / (1 - min(prior, 1 - 1e-6))))
     ids: dict[str, int] = {}
-    cols = np.fromiter((ids.setdefault(f, len(ids)) for s in features for f in s), np.int64)
-    rows = np.repeat(np.arange(len(features)), [len(s) for s in features])
+    coded = [np.fromiter((ids.setdefault(f, len(ids)) for f in s), np.int32, len(s)) for s in features]
+    cols = np.concatenate(coded)
+    rows = np.repeat(np.arange(len(coded)), [len(s) for s in coded])
     in_pos = np.bincount(cols, positive[rows], len(ids))
     in_all = np.bincount(cols, minlength=len(ids))
     expected = in_all * n_pos / (n_pos + n_unl)
@@ -104,7 +107,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out_mod: int = 3, held_out_re
 
 def _train_bag(prior: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        weights, bias = fit_sample([text_features(t) for t in part["text"]], part["positive"].to_numpy(bool), prior)
+        weights, bias = fit_sample((text_features(t) for t in part["text"]), part["positive"].to_numpy(bool), prior)
         return pd.DataFrame({"feature": ["", *weights], "weight": [bias, *weights.values()]})
 
     return run
