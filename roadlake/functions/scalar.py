@@ -214,7 +214,7 @@ def tile_pack(x: Column, y: Column) -> Column:
 
 
 def tile_unpack(tile: Column) -> tuple[Column, Column]:
-    return F.shiftright(tile, 32).cast("int"), tile.cast("int")
+    return F.shiftright(tile, 32).cast("int"), F.shiftright(F.shiftleft(tile, 32), 32).cast("int")
 
 
 def tile_name(x: Column, y: Column, base: str = "Map") -> Column:
