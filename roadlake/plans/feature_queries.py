@@ -108,14 +108,14 @@ def lr15_signals_to_roads(spark: SparkSession, sf_dir: str) -> DataFrame:
     ENDS + ", a AS (SELECT g.signal_id, g.s, g.t AS own, CASE WHEN g.type LIKE '10000__' THEN 25e-2 ELSE 0e0 END AS k, l.road_id, l.lane_id FROM d_signal_refs g JOIN ends e ON e.road_id = g.road_id AND g.s >= e.s0 AND g.s < e.s1 JOIN d_lanes l ON l.road_id = e.road_id AND l.section_id = e.section_id), "
     "w AS (SELECT a.*, w.a + (a.s - w.s0) * w.b AS width FROM a JOIN d_lane_width w ON w.road_id = a.road_id AND w.lane_id = a.lane_id AND a.s >= w.s0 AND a.s < w.s1), "
     "o AS (SELECT *, sign(lane_id) * (sum(width) OVER (PARTITION BY signal_id, sign(lane_id) ORDER BY abs(lane_id) ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - width / 2e0) AS t FROM w), "
-    "d AS (SELECT *, round(sqrt((t - own) ** 2 + k ** 2), 6) AS d FROM o) SELECT signal_id, lane_id, round(d, 4) + 0e0 AS distance FROM d QUALIFY row_number() OVER (PARTITION BY signal_id ORDER BY d, -sign(lane_id), -abs(lane_id)) = 1",
+    "d AS (SELECT *, round(sqrt((t - own) ** 2 + k ** 2), 6) AS d FROM o) SELECT signal_id, lane_id, d + 0e0 AS distance FROM d QUALIFY row_number() OVER (PARTITION BY signal_id ORDER BY d, -sign(lane_id), -abs(lane_id)) = 1",
     "d_sections", "d_roads", "d_lanes", "d_lane_width", "d_signal_refs",
 )
 def lr16_nearest_lanes_at_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     sections, roads, lanes, widths, geometry = derived(spark, sf_dir, "d_sections", "d_roads", "d_lanes", "d_lane_width", "d_geometry")
     points = placed_signals(spark, sf_dir).select("map_id", "road_id", F.col("signal_id").alias("point_id"), "s", "x", "y")
     near = signals.nearest_lane_at(points, sections, roads, lanes, widths, geometry, ANY_LANE)
-    return near.select(F.col("point_id").alias("signal_id"), "lane_id", tidy(F.col("distance")).alias("distance"))
+    return near.select(F.col("point_id").alias("signal_id"), "lane_id", "distance")
 
 
 @query(ENDS + ", g AS (SELECT l.road_id, l.section_id, l.lane_id, CASE WHEN l.lane_id < 0 THEN e.s0 ELSE e.s1 END AS a, CASE WHEN l.lane_id < 0 THEN 1 ELSE -1 END AS way, CASE WHEN l.lane_id < 0 THEN e.s1 ELSE e.s0 END AS b FROM d_lanes l JOIN ends e ON e.road_id = l.road_id AND e.section_id = l.section_id WHERE abs(l.lane_id) = 1) SELECT road_id, section_id, lane_id, a + way * 2e1 * unnest(range(0, greatest(CAST(ceil(abs(b - a) / 2e1) AS INT), 1))) AS s, false AS last FROM g UNION ALL SELECT road_id, section_id, lane_id, CAST(b AS DOUBLE), true FROM g", "d_sections", "d_roads", "d_lanes")
@@ -194,14 +194,14 @@ def jg14_signal_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "more s AS (SELECT g.map_id, g.signal_id, x.x + (g.s - x.s0 + CASE WHEN g.type LIKE '10000__' THEN 25e-2 ELSE 0e0 END) * cos(x.hdg) - g.t * sin(x.hdg) AS sx, x.y + (g.s - x.s0 + CASE WHEN g.type LIKE '10000__' THEN 25e-2 ELSE 0e0 END) * sin(x.hdg) + g.t * cos(x.hdg) AS sy FROM d_signal_refs g JOIN d_geometry x ON x.road_id = g.road_id AND g.s >= x.s0 AND g.s < x.s1), "
-    "d AS (SELECT p.event_id, s.signal_id, round(sqrt((s.sx - p.x) ** 2 + (s.sy - p.y) ** 2), 6) AS d FROM d_pings p JOIN s ON s.map_id = p.map_id), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY event_id ORDER BY d, signal_id) AS INT) AS rank FROM d QUALIFY rank <= 3) SELECT event_id, rank, signal_id, round(d, 4) + 0e0 AS distance FROM r",
+    "d AS (SELECT p.event_id, s.signal_id, round(sqrt((s.sx - p.x) ** 2 + (s.sy - p.y) ** 2), 6) AS d FROM d_pings p JOIN s ON s.map_id = p.map_id), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY event_id ORDER BY d, signal_id) AS INT) AS rank FROM d QUALIFY rank <= 3) SELECT event_id, rank, signal_id, d + 0e0 AS distance FROM r",
     "d_signal_refs", "d_geometry", "d_pings",
 )
 def sp5_nearest_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     (pings,) = derived(spark, sf_dir, "d_pings")
     sites = placed_signals(spark, sf_dir).select("map_id", F.col("signal_id").alias("site_id"), "x", "y")
     near = spatial.nearest_points(pings.select("map_id", F.col("event_id").alias("point_id"), "x", "y"), sites, 3)
-    return near.select(F.col("point_id").alias("event_id"), "rank", F.col("site_id").alias("signal_id"), tidy(F.col("d")).alias("distance"))
+    return near.select(F.col("point_id").alias("event_id"), "rank", F.col("site_id").alias("signal_id"), F.col("d").alias("distance"))
 
 
 @query("SELECT road_id, section_id, min(lane_id) AS low, max(lane_id) AS high, min(CASE WHEN type = 'driving' THEN lane_id END) AS low_driving, max(CASE WHEN type = 'driving' THEN lane_id END) AS high_driving FROM d_lanes GROUP BY road_id, section_id", "d_lanes")

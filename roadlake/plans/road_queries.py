@@ -57,10 +57,10 @@ def closest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.nearest_segments(points, lane_segments(spark, sf_dir), ["road_id", "seq", "lane_id"])
 
 
-@query(NEAREST + "SELECT event_id, road_id, lane_id, round(s0 + t * length, 4) + 0e0 AS s, round(d2, 4) + 0e0 AS distance FROM n", "d_geometry", "d_lane_width", "d_pings")
+@query(NEAREST + "SELECT event_id, road_id, lane_id, round(s0 + t * length, 4) + 0e0 AS s, d2 + 0e0 AS distance FROM n", "d_geometry", "d_lane_width", "d_pings")
 def sp2_closest_waypoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = closest(spark, sf_dir)
-    return near.select(F.col("point_id").alias("event_id"), "road_id", "lane_id", tidy(F.col("s0") + F.col("along")).alias("s"), tidy(F.col("d2")).alias("distance"))
+    return near.select(F.col("point_id").alias("event_id"), "road_id", "lane_id", tidy(F.col("s0") + F.col("along")).alias("s"), F.col("d2").alias("distance"))
 
 
 @query(NEAREST + "SELECT event_id, road_id, lane_id FROM n WHERE d2 < width / 2e0", "d_geometry", "d_lane_width", "d_pings")
@@ -68,9 +68,9 @@ def sp3_on_road(spark: SparkSession, sf_dir: str) -> DataFrame:
     return closest(spark, sf_dir).filter(F.col("d2") < F.col("width") / 2.0).select(F.col("point_id").alias("event_id"), "road_id", "lane_id")
 
 
-@query(NEAREST + "SELECT event_id, round(d2 - width, 4) + 0e0 AS border FROM n", "d_geometry", "d_lane_width", "d_pings")
+@query(NEAREST + "SELECT event_id, round(d2 - width, 6) + 0e0 AS border FROM n", "d_geometry", "d_lane_width", "d_pings")
 def sp7_border_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return closest(spark, sf_dir).select(F.col("point_id").alias("event_id"), tidy(F.col("d2") - F.col("width")).alias("border"))
+    return closest(spark, sf_dir).select(F.col("point_id").alias("event_id"), tidy(F.col("d2") - F.col("width"), 6).alias("border"))
 
 
 @query(
