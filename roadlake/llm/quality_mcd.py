@@ -39,9 +39,11 @@ STATS = [
     ("n_lines", T.LongType()),
 ]
 
-#: Smallest spread that counts in each transformed statistic. Without it, a group where most rows share one value
+#: Robust spread under which a statistic counts as constant in its group.
+RIDGE = 0.005
+#: Spread that stands for that of a constant statistic, and only there. Without it, a group where most rows share one value
 #: (no symbols, no repeated lines) has a zero determinant and would reject every row that differs at all. A heading
-#: that a short text repeats once must stay within a few floors.
+#: that a short text repeats once must stay within a few floors. All other statistics have the group's own covariance.
 FLOORS = {"v_length": 0.08, "v_symbols": 0.05, "v_dup": 0.2, "v_repeat": 0.2, "v_upper": 0.06, "v_marks": 0.06}
 FEATURES = list(FLOORS)
 
@@ -139,7 +141,7 @@ def _moments(rows: DataFrame) -> DataFrame:
 
 
 def _estimate(moments: DataFrame) -> DataFrame:
-    """Centre and whitening matrix of each group, from its sums."""
+    """Centre and whitening matrix of each group, from its sums and robust spreads s."""
     floors = np.array([FLOORS[f] for f in FEATURES])
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -152,9 +154,13 @@ def _estimate(moments: DataFrame) -> DataFrame:
                 for i in range(p):
                     for j in range(i, p):
                         cov[i, j] = cov[j, i] = r[f"p{i}_{j}"] / r["n"] - mean[i] * mean[j]
-                values, basis = np.linalg.eigh(cov / np.outer(floors, floors))
-                # clip in units of the floors, so that no direction is narrower than its floor
-                white = (basis / np.sqrt(np.maximum(values, 1.0))).T / floors
+                constant = np.array(r["s"]) < RIDGE
+                cov[constant, :] = cov[:, constant] = 0.0
+                cov[constant, constant] = floors[constant] ** 2
+                unit = np.where(constant, floors, np.sqrt(np.maximum(np.diag(cov), RIDGE * RIDGE)))
+                values, basis = np.linalg.eigh(cov / np.outer(unit, unit))
+                # a numerical bound only, for statistics that determine each other
+                white = (basis / np.sqrt(np.maximum(values, 1e-3))).T / unit
                 out.append((r["g"], mean.tolist(), white.ravel().tolist()))
             yield pd.DataFrame(out, columns=["g", "m", "w"])
 
@@ -202,22 +208,22 @@ def fit(stats: DataFrame, min_rows: int = 50, steps: int = 3) -> tuple[DataFrame
     p = len(FEATURES)
     quarter = lambda q: [F.percentile_approx(f, q, 10_000).alias(f"q_{f}") for f in FEATURES]
     middle = rows.groupBy("g").agg(*quarter([0.25, 0.5, 0.75]))
-    start = middle.select(
-        "g",
-        F.array(*[F.col(f"q_{f}")[1] for f in FEATURES]).alias("m"),
-        F.array(*[(F.lit(1.0) / F.greatest(F.lit(FLOORS[f]), (F.col(f"q_{f}")[2] - F.col(f"q_{f}")[0]) / 1.349)) if i == j else F.lit(0.0) for i in range(p) for j, f in enumerate(FEATURES)]).alias("w"),
-    )
-    params = cut(start)
+    middle = cut(middle.select("g", F.array(*[F.col(f"q_{f}")[1] for f in FEATURES]).alias("m"), F.array(*[(F.col(f"q_{f}")[2] - F.col(f"q_{f}")[0]) / 1.349 for f in FEATURES]).alias("s")))
+    first = lambda i: F.lit(1.0) / F.when(F.col("s")[i] < RIDGE, FLOORS[FEATURES[i]]).otherwise(F.col("s")[i])
+    params = middle.select("g", "m", F.array(*[first(i) if i == j else F.lit(0.0) for i in range(p) for j in range(p)]).alias("w"))
+    spreads = small_or_not(middle.select("g", "s"), n_groups)
     for _ in range(steps):
         at = rows.join(small_or_not(params, n_groups), "g").withColumn("d2", _distance())
         half = at.groupBy("g").agg(F.percentile_approx("d2", 0.5, 10_000).alias("h"))
         inner = at.join(small_or_not(half, n_groups), "g").filter("d2 <= h")
-        params = cut(_estimate(_moments(inner)))
+        params = cut(_estimate(_moments(inner).join(spreads, "g")))
     at = rows.join(small_or_not(params, n_groups), "g").withColumn("d2", _distance())
-    # The half's covariance is too small; the median distance says by how much. It never shrinks the spread.
-    scale = at.groupBy("g").agg(F.greatest(F.lit(1.0), F.percentile_approx("d2", 0.5, 10_000) / chi2_quantile(p, 0.5)).alias("scale"))
+    # The half's covariance is too small; the median distance, to which constant statistics add nothing, says by how much. It never shrinks the spread.
+    medians = F.array(F.lit(1.0), *[F.lit(chi2_quantile(k, 0.5)) for k in range(1, p + 1)])
+    moving = F.size(F.filter("s", lambda x: x >= RIDGE))
+    scale = at.groupBy("g").agg(F.percentile_approx("d2", 0.5, 10_000).alias("h")).join(spreads, "g").select("g", F.greatest(F.lit(1.0), F.col("h") / F.element_at(medians, moving + 1)).alias("scale"))
     inner = at.join(small_or_not(scale, n_groups), "g").filter(F.col("d2") / F.col("scale") <= chi2_quantile(p, 0.975))
-    final = _estimate(_moments(inner))
+    final = _estimate(_moments(inner).join(spreads, "g"))
     return cut(groups.join(final, "g", "left").select("g_own", "m", "w")), n_groups
 
 

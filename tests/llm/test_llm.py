@@ -77,6 +77,18 @@ def test_mcd_resists_outliers(spark):
     assert dict(zip(got.bad, got.k)) == {True: 0.0, False: 1.0}
 
 
+def test_mcd_covariance_sets_the_distance(spark):
+    """Rows far outside their group's own narrow, correlated cloud are rejected, though within the floors of its centre."""
+    rng = np.random.default_rng(5)
+    upper = np.round(2000 + rng.normal(size=400) * 150).astype(int)
+    marks = upper + np.round(rng.normal(size=400) * 60).astype(int)
+    good = [("en", "a", 4000, int(20_000 + rng.normal() * 200), 0, 0, 0, int(u), int(m), 20) for u, m in zip(upper, marks)]
+    bad = [("en", "a", 4001, 20_000, 0, 0, 0, 2000, 3800, 20)] * 5 + [("en", "a", 4001, 20_000, 0, 0, 0, 2350, 1650, 20)] * 5
+    stats = spark.createDataFrame(good + bad, "lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_upper long, n_marks long, n_lines long")
+    got = quality_mcd.judge(stats, *quality_mcd.fit(stats)).groupBy((F.col("n_words") == 4001).alias("bad")).agg(F.avg(F.col("kept").cast("int")).alias("k")).toPandas()
+    assert dict(zip(got.bad, got.k)) == {True: 0.0, False: 1.0}
+
+
 def test_search(spark):
     table = pd.read_parquet(f"{SF}/embeddings.parquet").sort_values("vec_id")
     x, ids = np.stack(table.embedding).astype(float), table.vec_id.to_numpy()
