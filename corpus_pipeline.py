@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlake.llm import fair_mix, quality_mcd, simhash_dedup, toxicity_nnpu
+from roadlake.llm import fair_mix, quality_mcd, shingle_dedup, toxicity_nnpu
 from roadlake.llm.common import cut, table
 from roadlake.llm.queries import TOXIC, bpe_digests
 
@@ -28,8 +28,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group; rows without an id stay."""
-    found = simhash_dedup.near_duplicates(docs)
+    """The document with the smallest id of each group of near copies (5-word shingles, Jaccard 0.8 or more); rows without an id stay."""
+    found = shingle_dedup.near_copies(docs)
     gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
     named = docs.filter("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(*docs.columns)
     return named.unionByName(docs.filter("doc_id IS NULL"))

@@ -1,0 +1,98 @@
+"""Near copies by the share of common shingles: texts whose sets of 5-word shingles have a Jaccard similarity of 0.8 or more.
+
+Pairs are proposed by MinHash and verified on the whole sets. BANDS keys of ROWS minima each miss a pair at similarity
+0.8 with probability (1 - 0.8 ** 4) ** 24 = 3e-6, and more similar ones with less.
+
+Spark's part: texts with the same set are one node. First every node of a key is compared with the key's smallest node;
+then only nodes that are not yet connected are compared with each other, so a large group of near copies gives pairs
+in proportion to its size, and nothing is dropped. Sets are made anew for the nodes that were proposed, not stored.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from roadlake.llm.common import cut, map_text, small_or_not
+from roadlake.llm.components import connected_components
+
+BANDS, ROWS, SEED = 24, 4, 42
+_MIX = np.random.default_rng(SEED).integers(0, 1 << 64, (BANDS * ROWS, 2), dtype=np.uint64)
+_TIMES, _PLUS = _MIX[:, :1] | np.uint64(1), _MIX[:, 1:]
+
+
+def shingles(text: bytes, width: int = 5) -> np.ndarray:
+    """Hashes of the distinct shingles, sorted; a text of fewer words is one shingle, one without words has none."""
+    words = text.lower().split()
+    digest = xxhash.xxh64_intdigest
+    grams = [b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))] if words else []
+    return np.unique(np.array([digest(g, SEED) for g in grams], np.uint64))
+
+
+def band_keys(hashes: np.ndarray) -> list[int]:
+    if not len(hashes):
+        return []
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 4096):
+        least = np.minimum(least, (hashes[None, at : at + 4096] * _TIMES + _PLUS).min(1))
+    return [_signed(xxhash.xxh64_intdigest(band.tobytes(), k)) for k, band in enumerate(least.reshape(BANDS, ROWS))]
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _node(hashes: np.ndarray) -> int:
+    return _signed(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
+
+
+def near_copies(docs: DataFrame, width: int = 5, percent: int = 80, text_col: str = "text") -> DataFrame:
+    """documents -> doc_id, component_id: the smallest doc_id reachable over pairs of percent similarity or more.
+
+    Texts are lower-cased (A-Z only) and cut into words. Null and wordless texts are copies of each other. Rows with a
+    null doc_id are left out. Repeated rows stay. An empty table gives an empty result.
+    """
+
+    def sign(texts: list[bytes]) -> list[list]:
+        sets = [shingles(b, width) for b in texts]
+        return [[_node(x) for x in sets], [len(x) for x in sets], [band_keys(x) for x in sets]]
+
+    def show(texts: list[bytes]) -> list[list]:
+        sets = [shingles(b, width) for b in texts]
+        return [[_node(x) for x in sets], [x.view(np.int64).tolist() for x in sets]]
+
+    docs = docs.filter("doc_id IS NOT NULL")
+    rows = cut(map_text(docs, ["doc_id"], [("node", T.LongType()), ("n", T.LongType()), ("keys", T.ArrayType(T.LongType()))], sign, text_col))
+    nodes = cut(rows.groupBy("node").agg(F.min("doc_id").alias("rep")))
+    members = cut(rows.select("node", "n", F.explode("keys").alias("key")).distinct())
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are similar enough, on their whole sets."""
+        used = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        ids = cut(used.join(nodes, "node").select(F.col("rep").alias("doc_id")).distinct())
+        some = docs.select("doc_id", text_col).join(small_or_not(ids, ids.count()), "doc_id", "left_semi")
+        sets = map_text(some, [], [("node", T.LongType()), ("set", T.ArrayType(T.LongType()))], show, text_col)
+        sets = cut(sets.groupBy("node").agg(F.first("set").alias("set")))
+        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
+        common = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("i"), (F.size("x") + F.size("y")).alias("n"))
+        return common.filter(100 * F.col("i") >= percent * (F.col("n") - F.col("i"))).select("a", "b")
+
+    least = members.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
+    tried = cut(members.join(least, "key").filter("node <> a").select("a", F.col("node").alias("b")).distinct())
+    links = cut(verified(tried))
+    linked = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    labelled = cut(members.join(linked, "node", "left").select("node", "n", "key", F.coalesce("component", "node").alias("comp")))
+    mixed = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
+    inside = labelled.join(mixed, "key", "left_semi")
+    one, two = (inside.select("key", F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("comp").alias(f"c_{c}")) for c in "ab")
+    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    more = cut(one.join(two, "key").filter((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & sizes).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
+    links = links.unionByName(verified(more))
+
+    comps = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    labelled = nodes.join(comps.withColumnRenamed("node", "own"), F.col("node") == F.col("own"), "left").select("node", "rep", F.coalesce("component", "node").alias("component"))
+    named = labelled.join(labelled.groupBy("component").agg(F.min("rep").alias("component_id")), "component").select("node", "component_id")
+    return rows.join(named, "node").select("doc_id", "component_id")

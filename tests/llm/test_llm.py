@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from roadlake.llm import byte_bpe, chat_perspective, fair_mix, hmm_lm, license_index, mih_search, page_diff, quality_mcd, queries, simhash_dedup, toxicity_nnpu
+from roadlake.llm import byte_bpe, chat_perspective, fair_mix, hmm_lm, license_index, mih_search, page_diff, quality_mcd, queries, shingle_dedup, simhash_dedup, toxicity_nnpu
 from roadlake.llm.components import connected_components
 
 SMALL, SF = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -367,3 +367,29 @@ def test_stages_take_odd_and_empty_rows(spark, odd, none, name, stage):
     frame = odd.select("doc_id", "text", "lang", "source", "kept", "size")
     assert stage(spark, frame, SMALL).count() >= 0
     assert stage(spark, none, SMALL).count() == 0
+
+
+def test_near_duplicates_stage_by_brute_force_jaccard(spark, docs):
+    def grams(text):
+        w = (text or "").encode().lower().split()
+        return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+    sets = {i: grams(t) for i, t in zip(docs.doc_id, docs.text)}
+    ids = sorted(sets)
+    comp = {i: i for i in ids}
+    find = lambda i: i if comp[i] == i else find(comp[i])
+    for k, a in enumerate(ids):
+        for b in ids[:k]:
+            x, y = sets[a], sets[b]
+            if 5 * min(len(x), len(y)) >= 4 * max(len(x), len(y)) and 5 * (n := len(x & y)) >= 4 * (len(x) + len(y) - n):
+                comp[max(find(a), find(b))] = min(find(a), find(b))
+    kept = corpus_pipeline.near_duplicates(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == [i for i in ids if find(i) == i]
+
+
+def test_near_copies_not_like_the_first_are_compared(spark):
+    """Links run along a chain, so that most pairs with a key's smallest node are not similar."""
+    words = [f"w{i}" for i in range(400)]
+    rows = [(k, " ".join(words[12 * k : 12 * k + 200])) for k in range(12)]
+    got = shingle_dedup.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(k, 0) for k in range(12)]
