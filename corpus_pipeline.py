@@ -36,9 +36,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it (0, 1 or 2 rows)."""
-    taken = fair_mix.mix_sources(docs).filter("n_taken > 0").groupBy("doc_id").agg(F.max("n_taken").alias("n_taken"))
-    return docs.join(taken, "doc_id").withColumn("__copy__", F.explode(F.sequence(F.lit(1), F.col("n_taken").cast("int")))).select(*docs.columns)
+    """Each row as often as the mix takes it (0, 1 or 2 rows). Id, source and size, nulls included, decide a row's fate."""
+    taken = fair_mix.mix_sources(docs).filter("n_taken > 0").select(F.col("doc_id").alias("__id__"), F.col("source").alias("__source__"), F.col("size").alias("__taken_size__"), F.col("n_taken").alias("__n__")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__id__")) & F.col("source").eqNullSafe(F.col("__source__")) & (F.col("__size__") == F.col("__taken_size__"))
+    found = docs.withColumn("__size__", fair_mix.n_words()).join(taken, same)
+    return found.withColumn("__copy__", F.explode(F.sequence(F.lit(1), F.col("__n__").cast("int")))).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,6 +44,11 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), budge
     return first.withColumn("share", share).select("key", "source_size", "source_rank", F.when(F.col("free") == 1, F.col("share") * F.col("weight")).otherwise(F.col("cap")).alias("target"), "budget")
 
 
+def n_words() -> Column:
+    """Words of the whole text; a null text has 0."""
+    return F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
+
+
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), budget_share: float = 1.5, max_repeats: int = 2, seed: str = "mix") -> DataFrame:
     """documents -> doc_id, size, source, source_size, target, n_taken, taken.
 
@@ -52,10 +57,9 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), budget_sh
     an empty id. Rows that agree in id, source and size share their fate, so a rerun gives the same result.
     A document without words takes nothing. An empty table gives an empty result.
     """
-    n_words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
     key = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source")))
     shuffled = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    sized = cut(docs.select("doc_id", "source", n_words.alias("size"), key.alias("key"), shuffled.alias("h")))
+    sized = cut(docs.select("doc_id", "source", n_words().alias("size"), key.alias("key"), shuffled.alias("h")))
     n = sized.count()
     digits = max(1, ceil(log(max(n, 1) / RANGE_ROWS, 16))) if n > RANGE_ROWS else 1
 

@@ -393,3 +393,15 @@ def test_near_copies_not_like_the_first_are_compared(spark):
     rows = [(k, " ".join(words[12 * k : 12 * k + 200])) for k in range(12)]
     got = shingle_dedup.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.component_id) for r in got) == [(k, 0) for k in range(12)]
+
+
+def test_mixing_stage_takes_each_row_as_often_as_the_mix_says(spark):
+    """Rows without an id or a source arrive, and rows that share an id but differ in source or size have their own verdicts."""
+    rows = [(None if i % 3 == 0 else i // 4, "w " * (1 + i % 7), "en", (None, "a", "b", "c")[i % 4]) for i in range(120)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    verdicts = {(r.doc_id, r.source, r["size"]): r.n_taken for r in fair_mix.mix_sources(frame).collect()}
+    want = collections.Counter()
+    for i, text, _, source in rows:
+        want[(i, source, len(text.split()))] += verdicts[(i, source, len(text.split()))]
+    got = collections.Counter((r.doc_id, r.source, len(r.text.split())) for r in corpus_pipeline.mixing(spark, frame, SF).collect())
+    assert got == +want and any(k[0] is None for k in got) and len(set(verdicts.values())) > 1
