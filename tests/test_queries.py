@@ -43,3 +43,20 @@ def test_gate(spark):
     rows = [(1, i, t + datetime.timedelta(seconds=i), float(x), 0.0, 0.0, 0.0) for i, x in enumerate((0, 40, 60, 100, 111))]
     poses = spark.createDataFrame(rows, "actor_id long, event_id long, ts timestamp, x double, y double, z double, yaw double")
     assert [r.x for r in movement_gate(poses).orderBy("ts").collect()] == [0, 60, 111]
+
+
+def test_gate_holds_one_batch(spark):
+    """An actor's history over many batches is gated as one; no call sees more than a batch."""
+    from roadlake.streaming import gate
+
+    t = datetime.datetime(2024, 1, 1)
+    rows = [(a, i, t + datetime.timedelta(seconds=i), float(20 * i), 0.0, 0.0, 0.0) for a in (None, 1, 2**60, 2**60 + 1) for i in range(100)]
+    poses = spark.createDataFrame(rows, "actor_id long, event_id long, ts timestamp, x double, y double, z double, yaw double")
+    plan = gate.movement_gate(poses)._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "FlatMapGroupsInPandas" not in plan
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = sorted((r.actor_id or 0, r.event_id) for r in gate.movement_gate(poses).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == [(a, i) for a in (0, 1, 2**60, 2**60 + 1) for i in range(0, 100, 3)]
