@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlake.llm import fair_mix, quality_mcd, shingle_dedup, toxicity_nnpu
-from roadlake.llm.common import cut, table
+from roadlake.llm import fair_mix, quality_mcd, simhash_texts, toxicity_nnpu
+from roadlake.llm.common import cut, small_or_not, table
 from roadlake.llm.queries import TOXIC, bpe_digests
 
 
@@ -28,11 +28,20 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies (5-word shingles, Jaccard 0.8 or more); rows without an id stay."""
-    found = shingle_dedup.near_copies(docs)
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    named = docs.filter("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return named.unionByName(docs.filter("doc_id IS NULL"))
+    """One row of each group of near copies (5-word shingles, Jaccard 0.8 or more): that with the smallest id.
+
+    A row's fate hangs on its id and its text, so rows that share an id but not a text are judged each by itself. Of rows that repeat
+    id and text one stays. Rows without an id stay.
+    """
+    found = cut(simhash_texts.near_texts(docs))
+    gone = found.filter("NOT leads").select("doc_id", "text_hash").distinct()
+    again = found.filter("leads").groupBy("doc_id", "text_hash").count().filter("count > 1").select("doc_id", "text_hash")
+    verdicts = cut(gone.withColumn("fate", F.lit("gone")).unionByName(again.withColumn("fate", F.lit("again"))))
+    verdicts = small_or_not(verdicts.select(F.col("doc_id").alias("__id__"), F.col("text_hash").alias("__hash__"), F.col("fate").alias("__fate__")), verdicts.count())
+    judged = docs.join(verdicts, (F.col("doc_id") == F.col("__id__")) & (F.xxhash64("text") == F.col("__hash__")), "left")
+    once = judged.filter("__fate__ IS NULL").select(*docs.columns)
+    repeated = judged.filter("__fate__ = 'again'").dropDuplicates(["__id__", "__hash__"]).select(*docs.columns)
+    return once.unionByName(repeated)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
