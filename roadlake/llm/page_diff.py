@@ -3,7 +3,8 @@
 Within each host a page is paired with the page whose URL path is nearest. The text lines of the two are aligned by their
 longest common subsequence; shared lines are the site's frame (menus, notices, footers) and are deleted. Markup decides first
 where it is explicit: lines in scripts, menus, adverts, forms or reader comments never count as text; and lines in an
-article or main element are the article's own, so that copies of an article on one host do not delete each other.
+article or main element are the article's own, so that copies of an article on one host do not delete each other. All other lines,
+on pages with an article element and without, are kept unless the partner shares them.
 
 Spark's part: pages are ordered by (host, path) with a range partitioning, so a host with a third of all pages is spread over many
 tasks; neighbours come from a window inside each range, plus one small join for the pages at the ranges' ends. A page travels
@@ -13,11 +14,11 @@ with the hashes of its partner's lines only.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -29,10 +30,10 @@ from roadlake.llm.common import cut, small_or_not
 
 FRAME, PLAIN, BODY = 0, 1, 2
 
-_RAW = frozenset("script style title noscript template textarea iframe svg math object select".split())
+_RAW = frozenset("script style title noscript template textarea iframe svg".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
-_FRAME_TAGS = frozenset("nav footer aside form button menu dialog head".split())
+_FRAME_TAGS = frozenset("nav footer aside form button select menu dialog head".split())
 _BODY_TAGS = frozenset(("article", "main"))
 _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 _CONTAINERS = frozenset("address article aside blockquote body div dl fieldset figure footer form header main nav ol section table td ul".split())
@@ -45,7 +46,7 @@ _STRONG = frozenset(
 _WEAK = frozenset("header masthead topbar".split())
 _FRAME_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)>", re.S)
 _ATTR = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _NAME = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
 
@@ -63,7 +64,8 @@ def _state(tag: str, attrs: str, above: int) -> int:
             name, value = name.lower(), value.strip("\"'")
             if name in ("class", "id"):
                 words = {x.lower() for x in _NAME.findall(value)}
-                if words & _STRONG or (words & _WEAK and not body and tag not in _BODY_TAGS):
+                # Inside an article only whole containers are told by a name; paragraphs, headings and items are its text.
+                if (words & _STRONG and (not body or tag in _CONTAINERS)) or (words & _WEAK and not body and tag not in _BODY_TAGS):
                     return FRAME
             elif name == "role":
                 if value.lower() in _FRAME_ROLES:
@@ -141,8 +143,27 @@ def page_lines(html: str) -> list[tuple[str, int]]:
     return lines
 
 
-def common_lines(a: list[int], b: list[int]) -> list[bool]:
-    """Which items of a lie on a longest common subsequence of a and b (by the matches of each item, in increasing order)."""
+def _lengths(a: list[int], b: list[int]) -> list[int]:
+    """For every beginning of a, the lengths of its longest common subsequences with the beginnings of b, as bits: bit j is 0 where b[j] adds one."""
+    places: dict[int, int] = defaultdict(int)
+    for j, x in enumerate(b):
+        places[x] |= 1 << j
+    row = full = (1 << len(b)) - 1
+    out = []
+    for x in a:
+        hit = row & places.get(x, 0)
+        row = ((row + hit) | (row - hit)) & full
+        out.append(row)
+    return out
+
+
+def _steps(row: int, n: int) -> np.ndarray:
+    bits = np.unpackbits(np.frombuffer(row.to_bytes((n + 7) // 8, "little"), np.uint8), count=n, bitorder="little")
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+
+
+def common_lines(a: list[int], b: list[int], most_bits: int = 1 << 24) -> list[bool]:
+    """Which items of a lie on a longest common subsequence of a and b; 64 comparisons a machine word, with most_bits of memory at most beside the lines."""
     mine = [False] * len(a)
     low, high_a, high_b = 0, len(a), len(b)
     while low < high_a and low < high_b and a[low] == b[low]:
@@ -151,24 +172,31 @@ def common_lines(a: list[int], b: list[int]) -> list[bool]:
     while high_a > low and high_b > low and a[high_a - 1] == b[high_b - 1]:
         high_a, high_b = high_a - 1, high_b - 1
         mine[high_a] = True
-    places: dict[int, list[int]] = defaultdict(list)
-    for j in range(high_b - 1, low - 1, -1):
-        places[b[j]].append(j)
-    ends: list[int] = []
-    links: list[tuple[int, object]] = []
-    for i in range(low, high_a):
-        for j in places.get(a[i], ()):
-            k = bisect_left(ends, j)
-            link = (i, links[k - 1] if k else None)
-            if k == len(ends):
-                ends.append(j)
-                links.append(link)
-            else:
-                ends[k], links[k] = j, link
-    link = links[-1] if links else None
-    while link is not None:
-        mine[link[0]] = True
-        link = link[1]
+    there, here = set(b[low:high_b]), set(a[low:high_a])
+    at = [i for i in range(low, high_a) if a[i] in there]  # lines without an equal one cannot be shared
+    x, y = [a[i] for i in at], [v for v in b[low:high_b] if v in here]
+    if not x or not y:
+        return mine
+    if len(x) * len(y) > most_bits and len(x) > 1:
+        half = len(x) // 2
+        ahead = _steps(_lengths(x[:half], y)[-1], len(y))
+        behind = _steps(_lengths(x[half:][::-1], y[::-1])[-1], len(y))[::-1]
+        split = int((ahead + behind).argmax())
+        inner = common_lines(x[:half], y[:split], most_bits) + common_lines(x[half:], y[split:], most_bits)
+        for i, both in zip(at, inner, strict=True):
+            mine[i] = both
+        return mine
+    rows = [(1 << len(y)) - 1, *_lengths(x, y)]
+    upto = lambda i, j: j - (rows[i] & ((1 << j) - 1)).bit_count()
+    i, j = len(x), len(y)
+    while i and j:
+        if upto(i - 1, j) == upto(i, j):
+            i -= 1
+        elif rows[i] >> (j - 1) & 1:
+            j -= 1
+        else:
+            mine[at[i - 1]] = True
+            i, j = i - 1, j - 1
     return mine
 
 
@@ -179,8 +207,7 @@ def _hash(line: str) -> int:
 def main_text(lines: list[tuple[str, int]], partner: list[int] | None) -> tuple[str, int, int]:
     """(text, lines shared with the partner, shared lines deleted)."""
     shared = common_lines([_hash(x) for x, _ in lines], partner) if partner else [False] * len(lines)
-    has_body = any(s == BODY for _, s in lines)
-    kept = [x for (x, s), both in zip(lines, shared, strict=True) if s == BODY or (s == PLAIN and not has_body and not both)]
+    kept = [x for (x, s), both in zip(lines, shared, strict=True) if s == BODY or (s == PLAIN and not both)]
     deleted = sum(both and s != BODY for (_, s), both in zip(lines, shared, strict=True))
     return " ".join(kept), sum(shared), deleted
 

@@ -2,8 +2,9 @@
 
 Every text gives a vector of transformed statistics. For each (language, source) group a robust centre and
 covariance are fitted by concentration steps over *all* rows of the group that pass the base rules: keep the half of the rows with
-the smallest Mahalanobis distances, re-estimate, repeat; one reweighting step follows. A document whose distance
-from its own group's estimate is above a chi-square cut-off is rejected.
+the smallest Mahalanobis distances, re-estimate, repeat until the determinant stands still; of two starts that with the least determinant counts; one
+reweighting step follows. Estimates of groups are drawn towards those of their language in proportion to prior_rows, so small groups need no other rule.
+A document whose distance from its own group's estimate is above a chi-square cut-off is rejected.
 
 Spark's part: only the small table of statistics is read again by each step. A step is two aggregations with partial
 sums (a mergeable quantile sketch and moment sums), so a group that holds a third of all rows costs one row per task.
@@ -18,6 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
 from roadlake.llm.common import cut, map_text, small_or_not
@@ -46,6 +48,8 @@ RIDGE = 0.005
 #: that a short text repeats once must stay within a few floors. All other statistics have the group's own covariance.
 FLOORS = {"v_length": 0.08, "v_symbols": 0.05, "v_dup": 0.2, "v_repeat": 0.2, "v_upper": 0.06, "v_marks": 0.06}
 FEATURES = list(FLOORS)
+#: Rows that the estimate of the next wider level weighs; concentration steps at most; fall of a log determinant that counts as none.
+PRIOR_ROWS, MAX_STEPS, SETTLED = 25.0, 12, 1e-3
 
 
 def repeat_words(words: list[bytes]) -> int:
@@ -129,19 +133,28 @@ def chi2_quantile(p: int, prob: float) -> float:
     return (low + high) / 2
 
 
-_PARAMS = T.StructType([T.StructField("g", T.StringType()), T.StructField("m", T.ArrayType(T.DoubleType())), T.StructField("w", T.ArrayType(T.DoubleType()))])
+_ARRAY = T.ArrayType(T.DoubleType())
+_PARAMS = T.StructType([T.StructField("g", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("m", _ARRAY), T.StructField("cov", _ARRAY), T.StructField("w", _ARRAY), T.StructField("logdet", T.DoubleType())])
 
 
 def _moments(rows: DataFrame) -> DataFrame:
-    """Sums per group with partial aggregation: one row per group and task is shuffled."""
+    """Sums per group and start with partial aggregation: one row per group and task is shuffled."""
     p = len(FEATURES)
     sums = [F.sum(f).alias(f"s{i}") for i, f in enumerate(FEATURES)]
     products = [F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"p{i}_{j}") for i in range(p) for j in range(i, p)]
-    return rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), *sums, *products)
+    return rows.groupBy("g", "start").agg(F.count(F.lit(1)).alias("n"), *sums, *products)
+
+
+def whitening(cov: np.ndarray) -> tuple[np.ndarray, float]:
+    """Whitening matrix of a covariance, and the logarithm of its determinant."""
+    unit = np.sqrt(np.diag(cov))
+    values, basis = np.linalg.eigh(cov / np.outer(unit, unit))
+    values = np.maximum(values, 1e-3)  # a numerical bound only, for statistics that determine each other
+    return (basis / np.sqrt(values)).T / unit, float(np.log(values).sum() + 2 * np.log(unit).sum())
 
 
 def _estimate(moments: DataFrame) -> DataFrame:
-    """Centre and whitening matrix of each group, from its sums and robust spreads s."""
+    """Centre, covariance, whitening matrix and determinant of each group and start, from its sums and robust spreads s."""
     floors = np.array([FLOORS[f] for f in FEATURES])
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -157,16 +170,33 @@ def _estimate(moments: DataFrame) -> DataFrame:
                 constant = np.array(r["s"]) < RIDGE
                 cov[constant, :] = cov[:, constant] = 0.0
                 cov[constant, constant] = floors[constant] ** 2
-                unit = np.where(constant, floors, np.sqrt(np.maximum(np.diag(cov), RIDGE * RIDGE)))
-                values, basis = np.linalg.eigh(cov / np.outer(unit, unit))
-                # a numerical bound only, for statistics that determine each other
-                white = (basis / np.sqrt(np.maximum(values, 1e-3))).T / unit
-                out.append((r["g"], mean.tolist(), white.ravel().tolist()))
-            yield pd.DataFrame(out, columns=["g", "m", "w"])
+                cov[np.diag_indices(p)] = np.maximum(np.diag(cov), RIDGE * RIDGE)
+                white, logdet = whitening(cov)
+                out.append((r["g"], r["start"], r["n"], mean.tolist(), cov.ravel().tolist(), white.ravel().tolist(), logdet))
+            yield pd.DataFrame(out, columns=["g", "start", "n", "m", "cov", "w", "logdet"])
 
     return moments.mapInPandas(run, _PARAMS)
 
 
+def _shrink(levels: DataFrame, prior_rows: float) -> DataFrame:
+    """Own estimate of each group, drawn towards its language's and that towards all rows', as if those were prior_rows rows more."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        p = len(FEATURES)
+        for part in parts:
+            out = []
+            for r in part.to_dict("records"):
+                mean, cov = np.array(r["m_all"]), np.array(r["cov_all"])
+                for level in ("lang", "own"):
+                    if r[f"n_{level}"] > 0:
+                        share = r[f"n_{level}"] / (r[f"n_{level}"] + prior_rows)
+                        mean, cov = share * np.array(r[f"m_{level}"]) + (1 - share) * mean, share * np.array(r[f"cov_{level}"]) + (1 - share) * cov
+                out.append((r["g_own"], mean.tolist(), whitening(cov.reshape(p, p))[0].ravel().tolist()))
+            yield pd.DataFrame(out, columns=["g_own", "m", "w"])
+
+    return levels.mapInPandas(run, T.StructType([T.StructField("g_own", T.StringType()), T.StructField("m", _ARRAY), T.StructField("w", _ARRAY)]))
+
+
 def _distance() -> Column:
     """Squared Mahalanobis distance from columns m (centre) and w (whitening matrix, by rows), in generated code."""
     p = len(FEATURES)
@@ -179,71 +209,75 @@ def _distance() -> Column:
     return total
 
 
-def assign_groups(rows: DataFrame, min_rows: int) -> DataFrame:
-    """The estimate that judges a row: its (lang, source) group; if that has under min_rows good rows, the small groups
-    of its language together; if those have too few as well, all such rest together."""
+def assign_groups(rows: DataFrame) -> DataFrame:
+    """Names of the row's (lang, source) group and of its language."""
     own = F.concat_ws("\x1f", F.lit("own"), F.coalesce(F.col("lang"), F.lit("\x00")), F.coalesce(F.col("source"), F.lit("\x00")))
     return rows.withColumns({"g_own": own, "g_lang": F.concat_ws("\x1f", F.lit("lang"), F.coalesce(F.col("lang"), F.lit("\x00")))})
 
 
-def fit(stats: DataFrame, min_rows: int = 50, steps: int = 3) -> tuple[DataFrame, int]:
-    """Robust estimates of every group. stats needs lang, source and the counts of text_statistics.
+def fit(stats: DataFrame, prior_rows: float = PRIOR_ROWS, max_steps: int = MAX_STEPS) -> tuple[DataFrame, int]:
+    """Robust estimates of every (lang, source) group. stats needs lang, source and the counts of text_statistics.
 
-    Returns (table of g_own, m, w, scale; its number of rows). A group without an estimate has m null.
+    Estimates are made alike for every group, every language and all rows. Each has two starts, the robust spreads of the single statistics and
+    the plain covariance; concentration steps run until no determinant falls any more, and the start with the least determinant counts.
+    Returns (table of g_own, m, w; its number of rows).
     """
-    good = assign_groups(stats.filter(~base_failed()).withColumns(vectors()), min_rows).select("g_own", "g_lang", *FEATURES)
-    counts = good.groupBy("g_own", "g_lang").agg(F.count(F.lit(1)).alias("n"))
-    small = counts.filter(F.col("n") < min_rows)
-    pooled = small.groupBy("g_lang").agg(F.sum("n").alias("n_lang"))
-    rest = pooled.filter(F.col("n_lang") < min_rows).agg(F.coalesce(F.sum("n_lang"), F.lit(0)).alias("n_rest"))
-    groups = cut(
-        counts.join(pooled, "g_lang", "left").crossJoin(F.broadcast(rest)).select(
-            "g_own",
-            F.when(F.col("n") >= min_rows, F.col("g_own")).when(F.col("n_lang") >= min_rows, F.col("g_lang")).when(F.col("n_rest") >= min_rows, F.lit("rest")).alias("g"),
-        )
-    )
-    n_groups = groups.count()
-    rows = cut(good.join(small_or_not(groups, n_groups), "g_own").filter("g IS NOT NULL").select("g", *FEATURES))
+    good = assign_groups(stats.withColumns(vectors())).withColumn("good", ~base_failed()).select("g_own", "g_lang", "good", *FEATURES)
+    groups = cut(good.select("g_own", "g_lang").distinct())
+    n_groups = 3 * groups.count() + 1
+    rows = cut(good.filter("good").select(F.explode(F.array("g_own", "g_lang", F.lit("all"))).alias("g"), *FEATURES))
 
     p = len(FEATURES)
     quarter = lambda q: [F.percentile_approx(f, q, 10_000).alias(f"q_{f}") for f in FEATURES]
     middle = rows.groupBy("g").agg(*quarter([0.25, 0.5, 0.75]))
     middle = cut(middle.select("g", F.array(*[F.col(f"q_{f}")[1] for f in FEATURES]).alias("m"), F.array(*[(F.col(f"q_{f}")[2] - F.col(f"q_{f}")[0]) / 1.349 for f in FEATURES]).alias("s")))
     first = lambda i: F.lit(1.0) / F.when(F.col("s")[i] < RIDGE, FLOORS[FEATURES[i]]).otherwise(F.col("s")[i])
-    params = middle.select("g", "m", F.array(*[first(i) if i == j else F.lit(0.0) for i in range(p) for j in range(p)]).alias("w"))
+    single = middle.select("g", F.lit(0).alias("start"), "m", F.array(*[first(i) if i == j else F.lit(0.0) for i in range(p) for j in range(p)]).alias("w"), F.lit(float("inf")).alias("logdet"))
     spreads = small_or_not(middle.select("g", "s"), n_groups)
-    for _ in range(steps):
-        at = rows.join(small_or_not(params, n_groups), "g").withColumn("d2", _distance())
-        half = at.groupBy("g").agg(F.percentile_approx("d2", 0.5, 10_000).alias("h"))
-        inner = at.join(small_or_not(half, n_groups), "g").filter("d2 <= h")
-        params = cut(_estimate(_moments(inner).join(spreads, "g")))
-    at = rows.join(small_or_not(params, n_groups), "g").withColumn("d2", _distance())
+    plain = _estimate(_moments(rows.withColumn("start", F.lit(1))).join(spreads, "g")).select("g", "start", "m", "w", F.lit(float("inf")).alias("logdet"))
+    params = cut(single.unionByName(plain))
+
+    def distances(of: DataFrame) -> DataFrame:
+        return rows.join(small_or_not(of.select("g", "start", "m", "w"), 2 * n_groups), "g").withColumn("d2", _distance())
+
+    for _ in range(max_steps):
+        at = distances(params)
+        half = at.groupBy("g", "start").agg(F.percentile_approx("d2", 0.5, 10_000).alias("h"))
+        inner = at.join(small_or_not(half, 2 * n_groups), ["g", "start"]).filter("d2 <= h")
+        before = params.select("g", "start", F.col("logdet").alias("was"))
+        params = cut(_estimate(_moments(inner).join(spreads, "g")).join(small_or_not(before, 2 * n_groups), ["g", "start"]))
+        if not params.filter(F.col("was") - F.col("logdet") > SETTLED).limit(1).count():
+            break
+    best = params.withColumn("place", F.row_number().over(W.partitionBy("g").orderBy("logdet", "start"))).filter("place = 1").select("g", "start", "m", "w")
+    at = distances(cut(best))
     # The half's covariance is too small; the median distance, to which constant statistics add nothing, says by how much. It never shrinks the spread.
     medians = F.array(F.lit(1.0), *[F.lit(chi2_quantile(k, 0.5)) for k in range(1, p + 1)])
     moving = F.size(F.filter("s", lambda x: x >= RIDGE))
     scale = at.groupBy("g").agg(F.percentile_approx("d2", 0.5, 10_000).alias("h")).join(spreads, "g").select("g", F.greatest(F.lit(1.0), F.col("h") / F.element_at(medians, moving + 1)).alias("scale"))
     inner = at.join(small_or_not(scale, n_groups), "g").filter(F.col("d2") / F.col("scale") <= chi2_quantile(p, 0.975))
-    final = _estimate(_moments(inner).join(spreads, "g"))
-    return cut(groups.join(final, "g", "left").select("g_own", "m", "w")), n_groups
+    final = cut(_estimate(_moments(inner).join(spreads, "g")).select("g", "n", "m", "cov"))
+    level = lambda name: small_or_not(final.select(F.col("g").alias(f"g_{name}"), F.col("n").alias(f"n_{name}"), F.col("m").alias(f"m_{name}"), F.col("cov").alias(f"cov_{name}")), n_groups)
+    levels = groups.join(level("own"), "g_own", "left").join(level("lang"), "g_lang", "left").withColumn("g_all", F.lit("all")).join(level("all"), "g_all").fillna(0, ["n_own", "n_lang"])
+    return cut(_shrink(levels, prior_rows)), n_groups
 
 
 def judge(stats: DataFrame, estimates: DataFrame, n_groups: int, prob: float = 0.9999) -> DataFrame:
     """Add base_failed, distance (squared; null where no estimate exists) and kept."""
     cut_off = chi2_quantile(len(FEATURES), prob)
     names = stats.columns
-    at = assign_groups(stats.withColumns(vectors()), 0).join(small_or_not(estimates, n_groups), "g_own", "left")
+    at = assign_groups(stats.withColumns(vectors())).join(small_or_not(estimates, n_groups), "g_own", "left")
     return at.select(*names, base_failed().alias("base_failed"), _distance().alias("distance")).withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= cut_off, F.lit(True)))
 
 
-def quality_verdicts(docs: DataFrame, keep: list[str] | None = None, keep_text: bool = False, min_rows: int = 50, prob: float = 0.9999) -> DataFrame:
+def quality_verdicts(docs: DataFrame, keep: list[str] | None = None, keep_text: bool = False, prior_rows: float = PRIOR_ROWS, prob: float = 0.9999) -> DataFrame:
     """Statistics, base rules and MCD verdict of every document.
 
     Nulls: a null text is empty (base_failed); null lang or source are groups of their own; a null doc_id stays null.
-    Repeated rows are judged alike. An empty table gives an empty result. Groups without min_rows good rows are pooled
-    (by language, then all); where even the pool is too small, the base rules decide alone.
+    Repeated rows are judged alike. An empty table gives an empty result. The estimate of a group with few good rows leans on its language's,
+    and that on all rows' (prior_rows); without any good row every row is base_failed.
     Texts are read twice and never shuffled.
     """
     keep = keep or ["doc_id", "lang", "source"]
     stats = cut(text_statistics(docs, ["lang", "source"]))
-    estimates, n = fit(stats, min_rows)
+    estimates, n = fit(stats, prior_rows)
     return judge(text_statistics(docs, keep, keep_text=keep_text), estimates, n, prob)

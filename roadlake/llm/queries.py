@@ -36,8 +36,9 @@ def op5_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null doc_id has no fold and counts as not held out; its label is unknown, so nothing is learned from it."""
     scored = toxicity_nnpu.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
-    return scored.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= TOXIC).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= TOXIC).cast("int").alias("predicted"))
 
 
 def bpe_digests(docs: DataFrame) -> DataFrame:

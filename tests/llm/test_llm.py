@@ -207,6 +207,27 @@ def test_common_lines():
         assert sum(page_diff.common_lines(a, b)) == best[-1][-1]
 
 
+def test_common_lines_in_pieces_and_repeated():
+    rng = np.random.default_rng(6)
+    for _ in range(60):
+        a, b = rng.integers(0, 4, rng.integers(0, 40)).tolist(), rng.integers(0, 4, rng.integers(0, 40)).tolist()
+        whole, pieces = page_diff.common_lines(a, b), page_diff.common_lines(a, b, most_bits=64)
+        assert sum(whole) == sum(pieces)
+    assert all(page_diff.common_lines([7] * 30_000, [5, *[7] * 30_000, 6]))
+
+
+def test_page_text_outside_articles(spark):
+    """Unshared text beside an article stays; names of paragraphs delete nothing; stray quotes end no tag; copies keep their article."""
+    side = "<div>Same on both pages</div>"
+    rows = [
+        (1, "http://h.org/a/1", f"{side}<article><p class='notice'>kept</p><div class='ad-box'>buy</div></article><div><p>main story outside</p></div>"), (2, "http://h.org/a/2", f"{side}<article><p>kept</p></article>"),
+        (3, "http://q.org/1", "<p title=it's>Hello world</p><p>don't stop</p><p>end <math>x</math></p>"), (None, "http://z.org/a/1", "<p>without id</p>"), (4, "http://r.org/1", "<p>a</p>" * 3 + "<p>b</p>"), (4, "http://r.org/1", "<p>a</p>" * 3 + "<p>b</p>"),
+    ]
+    out = page_diff.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    got = {r.page_id: r.text for r in out}
+    assert len(out) == len(rows) and got[1] == "kept main story outside" and got[2] == "kept" and got[3] == "Hello world don't stop end x" and got[None] == "without id" and got[4] == "a a a b"
+
+
 def oracle(sql, sf, *tables):
     con = duckdb.connect()
     for t in tables:
@@ -245,6 +266,24 @@ def test_toxicity(spark, odd, none):
     assert toxicity_nnpu.score_toxicity(none, labels.limit(0), ["doc_id"]).count() == 0
 
 
+def test_toxicity_recall_on_the_held_out_fold(spark):
+    sf = "/root/testdata/sf0.1"
+    got = queries.op6_toxicity_nnpu(spark, sf).toPandas().merge(pd.read_parquet(f"{sf}/labels.parquet"), on="doc_id")
+    held = got[got.held_out]
+    assert held[held.toxic == 1].predicted.mean() >= 0.85 and held[held.toxic == 0].predicted.mean() <= 0.02
+
+
+def test_toxicity_scores_by_hand(spark, odd):
+    """Scores of the query's operator equal a plain sum over the learned weights; all rows may be taken as unlabelled."""
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    weights, bias = toxicity_nnpu.train(docs, labels, max_positive=None, max_unlabelled=None)
+    got = toxicity_nnpu.score_toxicity(docs, labels, ["doc_id"], max_positive=None, max_unlabelled=None).toPandas()
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in got.itertuples():
+        z = bias + sum(weights.get(f, 0.0) for f in toxicity_nnpu.text_features(texts[r.doc_id]))
+        assert math.isclose(r.toxic_score, 1 / (1 + math.exp(-max(-30, min(30, z)))), rel_tol=1e-6)
+
+
 def test_nnpu_learns_from_positives_and_unlabelled():
     rng = np.random.default_rng(2)
     texts = [{f"w{i}" for i in rng.integers(0, 400, 30)} | ({f"bad{rng.integers(0, 4)}"} if k < 800 else set()) for k in range(4000)]
@@ -273,6 +312,20 @@ def test_bpe(spark, odd, none):
     assert byte_bpe.encode_table(none, path, p.PATTERN, ["doc_id"]).count() == 0
 
 
+def brute_templates(words):
+    """(label, share in place) of every template at every start, its phrases standing in the window."""
+    whole = b" " + b" ".join(words) + b" "
+    for label, text, phrases in license_index.TEMPLATES:
+        template = license_index.license_words(text.encode())
+        if any(b" " + b" ".join(license_index.license_words(p.encode())) + b" " not in whole for p in phrases):
+            continue
+        for start in range(-len(template) + 1, len(words)):
+            same = sum(0 <= start + k < len(words) and words[start + k] == w for k, w in enumerate(template))
+            window = b" ".join(words[max(0, start) : start + len(template)])
+            if same / len(template) >= license_index.COVER and all(b" " + b" ".join(license_index.license_words(p.encode())) + b" " in b" " + window + b" " for p in phrases):
+                yield label, same / len(template)
+
+
 def test_licenses(spark, odd, none, docs):
     got = queries.op8_license_index(spark, SF).toPandas().merge(docs, on="doc_id")
     for r in got.itertuples():
@@ -282,6 +335,8 @@ def test_licenses(spark, odd, none, docs):
         assert (r.n_words, r.n_base, r.base_labels) == (len(words), len(at), ",".join(sorted({x for _, x in at})))
         assert set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(","))) and 0 <= r.score <= 1
         assert (r.first_word == min(at)[0] and r.last_word == max(at)[0]) if at else math.isnan(r.first_word)
+        stand = list(brute_templates([w.encode() for w in words]))
+        assert set(filter(None, r.labels.split(","))) == {x for x, _ in [*stand, *((label, 1) for _, label in at)]} and r.score == (1 if at else max((c for _, c in stand), default=0))
     has = got.text.str.contains("Apache License, Version 2.0", regex=False)
     assert (got.labels.str.contains("apache-2.0") == has).all() and has.any()
     out = {r.doc_id: r for r in license_index.scan_licenses(odd, ["doc_id"]).collect()}
