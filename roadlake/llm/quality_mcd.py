@@ -235,20 +235,24 @@ def fit(stats: DataFrame, prior_rows: float = PRIOR_ROWS, max_steps: int = MAX_S
     single = middle.select("g", F.lit(0).alias("start"), "m", F.array(*[first(i) if i == j else F.lit(0.0) for i in range(p) for j in range(p)]).alias("w"), F.lit(float("inf")).alias("logdet"))
     spreads = small_or_not(middle.select("g", "s"), n_groups)
     plain = _estimate(_moments(rows.withColumn("start", F.lit(1))).join(spreads, "g")).select("g", "start", "m", "w", F.lit(float("inf")).alias("logdet"))
-    params = cut(single.unionByName(plain))
+    falling = cut(single.unionByName(plain))
 
     def distances(of: DataFrame) -> DataFrame:
         return rows.join(small_or_not(of.select("g", "start", "m", "w"), 2 * n_groups), "g").withColumn("d2", _distance())
 
-    for _ in range(max_steps):
-        at = distances(params)
+    settled = falling.limit(0).select("g", "start", "m", "w", "logdet")
+    for _ in range(max_steps):  # only estimates whose determinant still falls are stepped again
+        at = distances(falling)
         half = at.groupBy("g", "start").agg(F.percentile_approx("d2", 0.5, 10_000).alias("h"))
         inner = at.join(small_or_not(half, 2 * n_groups), ["g", "start"]).filter("d2 <= h")
-        before = params.select("g", "start", F.col("logdet").alias("was"))
+        before = falling.select("g", "start", F.col("logdet").alias("was"))
         params = cut(_estimate(_moments(inner).join(spreads, "g")).join(small_or_not(before, 2 * n_groups), ["g", "start"]))
-        if not params.filter(F.col("was") - F.col("logdet") > SETTLED).limit(1).count():
+        on = F.col("was") - F.col("logdet") > SETTLED
+        settled = settled.unionByName(params.filter(~on).select("g", "start", "m", "w", "logdet"))
+        falling = params.filter(on).select("g", "start", "m", "w", "logdet")
+        if not falling.limit(1).count():
             break
-    best = params.withColumn("place", F.row_number().over(W.partitionBy("g").orderBy("logdet", "start"))).filter("place = 1").select("g", "start", "m", "w")
+    best = settled.unionByName(falling).withColumn("place", F.row_number().over(W.partitionBy("g").orderBy("logdet", "start"))).filter("place = 1").select("g", "start", "m", "w")
     at = distances(cut(best))
     # The half's covariance is too small; the median distance, to which constant statistics add nothing, says by how much. It never shrinks the spread.
     medians = F.array(F.lit(1.0), *[F.lit(chi2_quantile(k, 0.5)) for k in range(1, p + 1)])
