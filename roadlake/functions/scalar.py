@@ -182,9 +182,13 @@ def lane_type_bit(text: Column) -> Column:
     return F.coalesce(table[F.lower(text)], F.lit(1))
 
 
+# Shown names that are not the capitalised type.
+SHOWN = {"roadworks": "RoadWorks", "offramp": "OffRamp", "onramp": "OnRamp"}
+
+
 def lane_type_name(bit: Column) -> Column:
-    table = F.create_map(*[F.lit(x) for name, b in LANE_BITS.items() if b > 1 for x in (b, name.capitalize())])
-    return F.coalesce(table[bit], F.lit("Empty"))
+    table = F.create_map(*[F.lit(x) for name, b in LANE_BITS.items() if b > 1 for x in (b, SHOWN.get(name, name.capitalize()))])
+    return F.when(bit == ANY_LANE, F.lit("Any")).otherwise(F.coalesce(table[bit], F.lit("Empty")))
 
 
 def of_lane_type(bit: Column, mask: int) -> Column:

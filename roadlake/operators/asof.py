@@ -1,6 +1,6 @@
 """As-of and interval lookups along a road: records in force from s0 until s1.
 
-Keys are equi-join columns, so a lookup is a hash or sort-merge join with a residual condition; hot roads fall to
+Every join and window is keyed by map_id first, as maps repeat road ids. Keys are equi-join columns, so a lookup is a hash or sort-merge join with a residual condition; hot roads fall to
 Spark's skew-join handling.
 """
 
@@ -39,19 +39,19 @@ def records_between(records: DataFrame, ranges: DataFrame, keys: list[str]) -> D
 
 def section_ends(sections: DataFrame, roads: DataFrame) -> DataFrame:
     """s1 of each lane section: the next start, or the road's length."""
-    return with_ends(sections.join(roads.select("road_id", "length"), "road_id"), ["road_id"], last=F.col("length"))
+    return with_ends(sections.join(roads.select("map_id", "road_id", "length"), ["map_id", "road_id"]), ["map_id", "road_id"], last=F.col("length"))
 
 
 def lane_extent(sections: DataFrame, lanes: DataFrame) -> DataFrame:
     """First and last section that hold each lane id of a road."""
-    at = lanes.join(sections.select("road_id", "section_id", "s0"), ["road_id", "section_id"])
+    at = lanes.join(sections.select("map_id", "road_id", "section_id", "s0"), ["map_id", "road_id", "section_id"])
     return at.groupBy("map_id", "road_id", "lane_id").agg(F.min_by("section_id", "s0").alias("first_section"), F.max_by("section_id", "s0").alias("last_section"))
 
 
 def next_section_of_lane(sections: DataFrame, lanes: DataFrame) -> DataFrame:
     """For each lane, the nearest later and earlier section of its road that holds the same lane id."""
-    at = lanes.join(sections.select("road_id", "section_id", "s0"), ["road_id", "section_id"])
-    order = W.partitionBy("road_id", "lane_id").orderBy("s0")
+    at = lanes.join(sections.select("map_id", "road_id", "section_id", "s0"), ["map_id", "road_id", "section_id"])
+    order = W.partitionBy("map_id", "road_id", "lane_id").orderBy("s0")
     return at.withColumns({"next_section": F.lead("section_id").over(order), "prev_section": F.lag("section_id").over(order)})
 
 

@@ -79,6 +79,6 @@ def tiles_near(positions: DataFrame, tiles: DataFrame, side: float, reach: float
 
 
 def height_at(points: DataFrame, heightmap: DataFrame, extent: float, pixels: int, low: float, high: float) -> DataFrame:
-    """z of each point from the raster (px, py, r): linear pixel, wrapped; the raster has pixels * pixels rows and is joined by key."""
+    """z of each point from the raster (px, py, r, and map_id where each map has its own): linear pixel, wrapped; joined by key."""
     pixel = lambda c: F.pmod(F.floor(F.col(c) / extent * pixels), F.lit(pixels)).cast("int")
-    return points.withColumns({"px": pixel("x"), "py": pixel("y")}).join(heightmap, ["px", "py"], "left").withColumn("z", F.col("r") / 255.0 * (high - low) + low)
+    return points.withColumns({"px": pixel("x"), "py": pixel("y")}).join(heightmap, [*(["map_id"] if "map_id" in heightmap.columns else []), "px", "py"], "left").withColumn("z", F.col("r") / 255.0 * (high - low) + low)

@@ -108,6 +108,45 @@ WHERE r.junction_id <> -1
     ),
 }
 
+# The same tables as a network with more of what real ones have: each road id stands in two maps; lane ids change along links; links of 0; lanes that
+# not every section has; roads laid head to head; roads that lead into junctions.
+VIEWS |= {
+    "v_roads": (
+        ["d_roads"],
+        """
+SELECT map_id, road_id, length, pred, succ FROM d_roads
+UNION ALL
+SELECT map_id + 8 AS map_id, road_id, length / 2 AS length, succ AS pred, CASE WHEN road_id % 4 = 0 THEN 1000000000 + road_id % 50 ELSE pred END AS succ FROM d_roads
+""",
+    ),
+    "v_sections": (
+        ["d_sections"],
+        """
+SELECT map_id, road_id, section_id, s0 FROM d_sections UNION ALL SELECT map_id + 8 AS map_id, road_id, section_id, s0 / 2 AS s0 FROM d_sections
+""",
+    ),
+    "v_lanes": (
+        ["d_lanes"],
+        """
+SELECT map_id, road_id, section_id, lane_id, type_mask,
+       CASE WHEN (road_id + section_id) % 5 = 0 THEN 0 WHEN (road_id + section_id) % 5 = 1 AND abs(lane_id) > 1 THEN lane_id - CAST(sign(lane_id) AS INT) ELSE lane_id END AS pred,
+       CASE WHEN (road_id + section_id) % 7 = 0 THEN 0 WHEN (road_id + section_id) % 7 = 1 AND abs(lane_id) < 3 THEN lane_id + CAST(sign(lane_id) AS INT) ELSE lane_id END AS succ
+FROM d_lanes WHERE NOT (abs(lane_id) = 3 AND (road_id + section_id) % 3 = 1)
+UNION ALL
+SELECT map_id + 8 AS map_id, road_id, section_id, lane_id, type_mask, CASE WHEN road_id % 3 = 0 AND section_id = 0 THEN -lane_id ELSE lane_id END AS pred, CASE WHEN road_id % 3 = 1 THEN -lane_id ELSE lane_id END AS succ
+FROM d_lanes WHERE lane_id <> 3
+""",
+    ),
+    "v_connections": (
+        ["v_roads"],
+        """
+SELECT r.map_id, r.succ AS junction_id, r.road_id AS incoming_road, r.ahead AS connecting_road, t.lane_id AS link_from, CASE WHEN r.road_id % 8 = 0 THEN -t.lane_id ELSE t.lane_id END AS link_to
+FROM (SELECT *, lead(road_id) OVER (PARTITION BY map_id ORDER BY road_id) AS ahead FROM v_roads) r CROSS JOIN (VALUES (-1), (-2)) AS t(lane_id)
+WHERE r.succ >= 1000000000 AND r.ahead IS NOT NULL
+""",
+    ),
+}
+
 HEIGHTMAP_SPARK = """
 SELECT CAST(vec_id AS INT) AS px, pos AS py, CAST(floor((CAST(v AS DOUBLE) + 1e0) * 1275e-1) AS INT) AS r
 FROM embeddings LATERAL VIEW posexplode(embedding) e AS pos, v WHERE vec_id < 64

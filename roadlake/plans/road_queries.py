@@ -20,7 +20,9 @@ def query(sql: str | None = None, *views: str):
     def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         QUERIES[f.__name__] = f
         if sql:
-            ORACLES[f.__name__] = (chain(*views) + (", " if sql.startswith("more ") else " ") + sql.removeprefix("more ")) if views else sql
+            head = chain(*views)
+            head = head.replace("WITH ", "WITH RECURSIVE ", 1) if " FROM go " in sql else head
+            ORACLES[f.__name__] = (head + (", " if sql.startswith("more ") else " ") + sql.removeprefix("more ")) if views else sql
         return f
 
     return add
@@ -57,10 +59,10 @@ def closest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.nearest_segments(points, lane_segments(spark, sf_dir), ["road_id", "seq", "lane_id"])
 
 
-@query(NEAREST + "SELECT event_id, road_id, lane_id, round(s0 + t * length, 4) + 0e0 AS s, d2 + 0e0 AS distance FROM n", "d_geometry", "d_lane_width", "d_pings")
+@query(NEAREST + "SELECT event_id, road_id, lane_id, round(s0 + t * length, 6) + 0e0 AS s, d2 + 0e0 AS distance FROM n", "d_geometry", "d_lane_width", "d_pings")
 def sp2_closest_waypoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = closest(spark, sf_dir)
-    return near.select(F.col("point_id").alias("event_id"), "road_id", "lane_id", tidy(F.col("s0") + F.col("along")).alias("s"), F.col("d2").alias("distance"))
+    return near.select(F.col("point_id").alias("event_id"), "road_id", "lane_id", tidy(F.col("s0") + F.col("along"), 6).alias("s"), F.col("d2").alias("distance"))
 
 
 @query(NEAREST + "SELECT event_id, road_id, lane_id FROM n WHERE d2 < width / 2e0", "d_geometry", "d_lane_width", "d_pings")
@@ -68,9 +70,12 @@ def sp3_on_road(spark: SparkSession, sf_dir: str) -> DataFrame:
     return closest(spark, sf_dir).filter(F.col("d2") < F.col("width") / 2.0).select(F.col("point_id").alias("event_id"), "road_id", "lane_id")
 
 
-@query(NEAREST + "SELECT event_id, round(d2 - width, 6) + 0e0 AS border FROM n", "d_geometry", "d_lane_width", "d_pings")
+@query(NEAREST + "SELECT p.event_id, coalesce(round(d2 - width, 6), 1e5) + 0e0 AS border FROM p LEFT JOIN n ON n.event_id = p.event_id", "d_geometry", "d_lane_width", "d_pings")
 def sp7_border_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return closest(spark, sf_dir).select(F.col("point_id").alias("event_id"), tidy(F.col("d2") - F.col("width"), 6).alias("border"))
+    """A point on a map without lanes is 100,000 m from any border."""
+    near = closest(spark, sf_dir).select(F.col("point_id").alias("event_id"), tidy(F.col("d2") - F.col("width"), 6).alias("found"))
+    (pings,) = derived(spark, sf_dir, "d_pings")
+    return pings.select("event_id").join(near, "event_id", "left").select("event_id", F.coalesce("found", F.lit(100_000.0)).alias("border"))
 
 
 @query(
@@ -206,16 +211,28 @@ def jg2_junction_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.junction_options(*derived(spark, sf_dir, "d_connections"))
 
 
-@query("SELECT l.road_id, l.section_id, l.lane_id, r.lane_id AS right_lane, f.lane_id AS left_lane FROM d_lanes l LEFT JOIN d_lanes r ON r.road_id = l.road_id AND r.section_id = l.section_id AND r.lane_id = l.lane_id + CAST(sign(l.lane_id) AS INT) LEFT JOIN d_lanes f ON f.road_id = l.road_id AND f.section_id = l.section_id AND f.lane_id = CASE WHEN abs(l.lane_id) = 1 THEN -l.lane_id ELSE l.lane_id - CAST(sign(l.lane_id) AS INT) END", "d_lanes")
+@query("more o AS MATERIALIZED (SELECT road_id, section_id, lane_id, lane_id + CAST(sign(lane_id) AS INT) AS r, CASE WHEN abs(lane_id) = 1 THEN -lane_id ELSE lane_id - CAST(sign(lane_id) AS INT) END AS f FROM d_lanes) SELECT l.road_id, l.section_id, l.lane_id, r.lane_id AS right_lane, f.lane_id AS left_lane FROM o l LEFT JOIN o r ON r.road_id = l.road_id AND r.section_id = l.section_id AND r.lane_id = l.r LEFT JOIN o f ON f.road_id = l.road_id AND f.section_id = l.section_id AND f.lane_id = l.f", "d_lanes")
 def jg8_side_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.side_lanes(*derived(spark, sf_dir, "d_lanes")).drop("map_id")
 
 
-@query()
+AHEAD = ENDS.replace("more ends", "ends") + """, en AS MATERIALIZED (SELECT road_id, section_id, s0, s1 FROM ends), eg AS MATERIALIZED (SELECT * FROM ed),
+z AS (SELECT road_id, min(section_id) AS f, max(section_id) AS z FROM d_sections GROUP BY road_id),
+st0 AS (SELECT concat(l.road_id, '_', l.lane_id) AS id, l.road_id, l.section_id, l.lane_id, CASE WHEN l.lane_id < 0 THEN 0e0 ELSE CAST(r.length AS DOUBLE) END AS s
+  FROM d_lanes l JOIN z ON z.road_id = l.road_id JOIN d_roads r ON r.road_id = l.road_id WHERE (l.type_mask & 2) <> 0 AND ((l.lane_id < 0 AND l.section_id = z.f) OR (l.lane_id > 0 AND l.section_id = z.z))),
+go AS (SELECT id, road_id, section_id, lane_id, s, 6e1 AS lft, CAST(NULL AS BIGINT) AS fr, CAST(NULL AS INT) AS fs FROM st0
+  UNION ALL SELECT g.id, eg.next_road, eg.next_section, eg.next_lane, CASE WHEN eg.next_lane <= 0 THEN n.s0 ELSE n.s1 END, g.lft - CASE WHEN g.lane_id <= 0 THEN e.s1 - g.s ELSE g.s - e.s0 END, g.road_id, g.section_id
+  FROM go g JOIN en e ON e.road_id = g.road_id AND e.section_id = g.section_id JOIN eg ON eg.road_id = g.road_id AND eg.section_id = g.section_id AND eg.lane_id = g.lane_id JOIN en n ON n.road_id = eg.next_road AND n.section_id = eg.next_section
+  WHERE g.lft > CASE WHEN g.lane_id <= 0 THEN e.s1 - g.s ELSE g.s - e.s0 END AND (g.fr IS NULL OR NOT (eg.next_road = g.fr AND eg.next_section = g.fs)))
+SELECT g.id, g.road_id, g.section_id, g.lane_id, round(CASE WHEN g.lane_id <= 0 THEN g.s + g.lft ELSE g.s - g.lft END, 4) + 0e0 AS s FROM go g JOIN en e ON e.road_id = g.road_id AND e.section_id = g.section_id
+WHERE g.lft <= CASE WHEN g.lane_id <= 0 THEN e.s1 - g.s ELSE g.s - e.s0 END"""
+
+
+@query(f"{EDGES}, {AHEAD}", "d_roads", "d_sections", "d_lanes")
 def jg6_waypoints_ahead(spark: SparkSession, sf_dir: str) -> DataFrame:
     roads, sections, lanes = derived(spark, sf_dir, "d_roads", "d_sections", "d_lanes")
-    starts = generate.road_entries(roads, sections, lanes).withColumn("id", F.xxhash64("road_id", "lane_id"))
-    return graph.advance(starts, edges(spark, sf_dir), roads, sections, 60.0, 6).select("id", "road_id", "section_id", "lane_id", tidy(F.col("s")).alias("s"), "truncated")
+    entries = generate.road_entries(roads, sections, lanes).withColumn("id", F.concat_ws("_", "road_id", "lane_id"))
+    return graph.advance(entries, edges(spark, sf_dir), roads, sections, 60.0).select("id", "road_id", "section_id", "lane_id", tidy(F.col("s")).alias("s"))
 
 
 @query("SELECT map_id, junction_id, round((max(x) + min(x)) / 2, 4) + 0e0 AS cx, round((max(y) + min(y)) / 2, 4) + 0e0 AS cy, round((max(x) - min(x)) / 2 * 15e-1, 4) + 0e0 AS ex, round((max(y) - min(y)) / 2 * 15e-1, 4) + 0e0 AS ey FROM (SELECT r.map_id, r.junction_id, g.x, g.y FROM d_roads r JOIN d_geometry g ON g.road_id = r.road_id WHERE r.junction_id <> -1) GROUP BY map_id, junction_id", "d_roads", "d_geometry")
@@ -225,12 +242,12 @@ def ag1_junction_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiles.bounds(points, ["map_id", "junction_id"], 1.5).select("map_id", "junction_id", *[tidy(F.col(c)).alias(c) for c in ("cx", "cy", "ex", "ey")])
 
 
-@query("more p AS (SELECT *, CAST(floor(x / 5e2) AS INT) AS tx, CAST(floor(y / 5e2) AS INT) AS ty FROM d_pings) SELECT p.event_id, p.tx, p.ty, t.map_id IS NOT NULL AS inside, round(CASE WHEN t.map_id IS NOT NULL THEN x - p.tx * 5e2 END, 4) + 0e0 AS local_x FROM p LEFT JOIN d_tiles t ON t.map_id = p.map_id AND t.tx = p.tx AND t.ty = p.ty", "d_pings", "d_tiles")
+@query("more p AS (SELECT *, CAST(floor(x / 5e2) AS INT) AS tx, CAST(floor(y / 5e2) AS INT) AS ty FROM d_pings) SELECT p.event_id, p.tx, p.ty, t.map_id IS NOT NULL AS inside, round(CASE WHEN t.map_id IS NOT NULL THEN x - p.tx * 5e2 END, 6) + 0e0 AS local_x FROM p LEFT JOIN d_tiles t ON t.map_id = p.map_id AND t.tx = p.tx AND t.ty = p.ty", "d_pings", "d_tiles")
 def ag9_features_by_tile(spark: SparkSession, sf_dir: str) -> DataFrame:
     pings, grid = derived(spark, sf_dir, "d_pings", "d_tiles")
     inside, outside = tiles.owned(pings, grid, 500.0)
     cols = lambda df, known, x: df.select("event_id", "tx", "ty", F.lit(known).alias("inside"), x.alias("local_x"))
-    return cols(inside, True, tidy(F.col("local_x"))).unionByName(cols(outside, False, F.lit(None).cast("double")))
+    return cols(inside, True, tidy(F.col("local_x"), 6)).unionByName(cols(outside, False, F.lit(None).cast("double")))
 
 
 @query("SELECT map_id, CAST(greatest(max(tx), 0) - least(min(tx), 0) + 1 AS INT) AS n_x, CAST(greatest(max(ty), 0) - least(min(ty), 0) + 1 AS INT) AS n_y FROM d_tiles GROUP BY map_id", "d_tiles")
@@ -284,7 +301,7 @@ def wg13_terrain_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generate.terrain_grid(grid, 500.0, 100.0).select("map_id", "tx", "ty", "i", "j", "x", "y")
 
 
-CONFLICTS = f"""more {SEGMENTS}, j AS (SELECT seg.*, r.junction_id FROM seg JOIN d_roads r ON r.road_id = seg.road_id WHERE r.junction_id <> -1 AND seg.lane_id = -1),
+CONFLICTS = f"""more {SEGMENTS}, j AS (SELECT seg.*, r.junction_id FROM seg JOIN d_roads r ON r.road_id = seg.road_id WHERE r.junction_id <> -1),
 pr AS (SELECT a.map_id, a.junction_id, a.road_id AS ra, b.road_id AS rb, a.x0 AS ax0, a.y0 AS ay0, a.x1 AS ax1, a.y1 AS ay1, b.x0 AS bx0, b.y0 AS by0, b.x1 AS bx1, b.y1 AS by1
   FROM j a JOIN j b ON b.map_id = a.map_id AND b.junction_id = a.junction_id AND a.road_id < b.road_id),
 e AS (SELECT *, unnest([[ax0, ay0, bx0, by0, bx1, by1], [ax1, ay1, bx0, by0, bx1, by1], [bx0, by0, ax0, ay0, ax1, ay1], [bx1, by1, ax0, ay0, ax1, ay1]]) AS q FROM pr),
@@ -297,7 +314,7 @@ SELECT map_id, junction_id, ra AS road_id, rb AS other_road FROM g UNION ALL SEL
 @query(CONFLICTS, "d_geometry", "d_lane_width", "d_roads")
 def sp8_junction_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     (roads,) = derived(spark, sf_dir, "d_roads")
-    segments = lane_segments(spark, sf_dir).filter("lane_id = -1").join(roads.filter("junction_id <> -1").select("map_id", "road_id", "junction_id"), ["map_id", "road_id"])
+    segments = lane_segments(spark, sf_dir).join(roads.filter("junction_id <> -1").select("map_id", "road_id", "junction_id"), ["map_id", "road_id"])
     return spatial.junction_conflicts(segments)
 
 

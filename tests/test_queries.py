@@ -28,7 +28,7 @@ def test_oracle(spark, duck, name):
     assert sorted(ours.columns) == sorted(theirs.columns)
     cols = sorted(ours.columns)
     key = lambda df: df[cols].sort_values(cols, ignore_index=True, na_position="last")
-    pd.testing.assert_frame_equal(key(ours), key(theirs), check_dtype=False, atol=2e-4, rtol=0)
+    pd.testing.assert_frame_equal(key(ours), key(theirs), check_dtype=False, atol=2e-7, rtol=0)
 
 
 def test_entry(spark):
