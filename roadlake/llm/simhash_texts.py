@@ -6,7 +6,7 @@ differ by at most one bit, with probability 1 - miss, at that similarity. Each s
 as a wildcard, for the ``weak`` bits nearest to a tie, which are those that edits turn. Rows that meet by equality of a
 key are compared on 128 further bits, and those that pass on their whole sets, so every link is exact.
 
-Spark's part: texts with the same set are one node. Families are linked first, each node with the smallest node of a bucket only; in the
+Spark's part: texts with the same set are one node. Families are linked first, each node with the middle of a crowded bucket only; in the
 join over all keys, components with over BIG nodes are then left out of the comparison with themselves. So a large group
 of near copies gives pairs in proportion to its size, and nothing is dropped. Segments have about as many bits as log2 of the number of nodes, so
 buckets of strangers stay small at every size; the number of segments follows.
@@ -14,6 +14,7 @@ buckets of strangers stay small at every size; the number of segments follows.
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil, log
 
 import numpy as np
@@ -28,10 +29,12 @@ from roadlake.llm.components import connected_components
 SEED = 42
 #: Bits of the two words on which met rows are compared, and how many standard deviations beyond the expected difference may pass.
 CHECK_BITS, CHECK_SIGMA = 128, 4.2
-#: Nodes of a component from which it is not compared with itself again.
-BIG = 256
+#: Nodes of a component from which it is not compared with itself again; rows of a bucket from which its middle is sought first.
+BIG, DENSE = 256, 16
 #: Segment bits at least; the number of nodes in a bucket of strangers is about 2 ** SPARE.
 LEAST_BITS, SPARE = 16, 2
+#: Hashes of all the sets to be compared, up to which they are sent to every task (8 bytes each) and not dealt out pair by pair.
+SENT_HASHES = 2_000_000
 _LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
 
 
@@ -106,7 +109,7 @@ def _components(links: DataFrame) -> DataFrame:
     return connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
-def near_texts(docs: DataFrame, width: int = 5, percent: int = 80, weak: int = 4, miss: float = 0.01, big: int = BIG, text_col: str = "text") -> DataFrame:
+def near_texts(docs: DataFrame, width: int = 5, percent: int = 80, weak: int = 4, miss: float = 0.01, big: int = BIG, dense_rows: int = DENSE, text_col: str = "text") -> DataFrame:
     """documents -> doc_id, text_hash (xxhash64 of the text), component_id, leads; one row per row with an id.
 
     component_id is the smallest doc_id reachable over pairs of percent similarity or more. Of a component, the rows with its smallest
@@ -144,16 +147,25 @@ def near_texts(docs: DataFrame, width: int = 5, percent: int = 80, weak: int = 4
         some = docs.join(small_or_not(ids, ids.count()), "doc_id", "left_semi")
         sets = map_text(some, [], [("node", T.LongType()), ("set", T.ArrayType(T.LongType()))], show)
         sets = cut(sets.groupBy("node").agg(F.first("set").alias("set")))
+        hashes = sets.agg(F.coalesce(F.sum(F.size("set")), F.lit(0))).first()[0]
+        sets = small_or_not(sets, hashes, SENT_HASHES)
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
         common = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("i"), (F.size("x") + F.size("y")).alias("n"))
         return common.filter(100 * F.col("i") >= percent * (F.col("n") - F.col("i"))).select("a", "b")
 
-    # Families: a node and the smallest node that shares a whole segment and 8 further bits with it.
-    own = nodes.select("node", "s1", "s2", F.explode(F.filter("keys", lambda k: F.shiftright(k, 44).bitwiseAND(F.lit(63)) == 0)).alias("key"))
-    own = own.select(F.col("node").alias("b"), F.col("s1").alias("y1"), F.col("s2").alias("y2"), "key", F.col("s1").bitwiseAND(F.lit(255)).alias("more"))
-    least = own.groupBy("key", "more").agg(F.min(F.struct("b", "y1", "y2")).alias("h"), F.count(F.lit(1)).alias("c")).filter("c > 1")
-    least = least.select("key", "more", F.col("h.b").alias("a"), F.col("h.y1").alias("x1"), F.col("h.y2").alias("x2"))
-    tried = cut(own.join(least, ["key", "more"]).filter((F.col("a") != F.col("b")) & (_apart() <= allowed)).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    # Families: in a crowded bucket every node meets the one in its middle, whose check bits are nearest to the bucket's majority, so edited
+    # copies of one text are linked to that text; a node keeps its nearest middle.
+    held = nodes.select(F.explode("keys").alias("key"), "node", "s1", "s2")
+    dense = cut(held.groupBy("key").count().filter(F.col("count") >= dense_rows).select("key"))
+    crowd = cut(held.join(small_or_not(dense, dense.count()), "key", "left_semi"))
+    bit = lambda c, i: F.shiftright(c, i).bitwiseAND(F.lit(1))
+    ones = crowd.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *[F.sum(bit(c, i)).alias(f"{c}_{i}") for c in ("s1", "s2") for i in range(64)])
+    major = ones.select("key", *[reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft((2 * F.col(f"{c}_{i}") > F.col("n")).cast("long"), i) for i in range(64)]).alias(f"m{c}") for c in ("s1", "s2")])
+    off = F.bit_count(F.col("s1").bitwiseXOR(F.col("ms1"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("ms2")))
+    middle = crowd.join(major, "key").groupBy("key").agg(F.min(F.struct(off.alias("off"), "node", "s1", "s2")).alias("h"))
+    middle = middle.select("key", F.col("h.node").alias("a"), F.col("h.s1").alias("x1"), F.col("h.s2").alias("x2"))
+    met = crowd.select("key", F.col("node").alias("b"), F.col("s1").alias("y1"), F.col("s2").alias("y2")).join(middle, "key").filter((F.col("a") != F.col("b")) & (_apart() <= allowed))
+    tried = cut(met.groupBy("b").agg(F.min(F.struct(_apart().alias("d"), "a")).alias("h")).select("h.a", "b"))
     families = cut(verified(tried))
     placed = nodes.join(_components(families), "node", "left").select("node", "s1", "s2", "keys", F.coalesce("component", "node").alias("comp"))
     large = cut(families.sparkSession.createDataFrame([], "comp long") if families.isEmpty() else placed.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > big).select("comp"))

@@ -494,7 +494,7 @@ def test_near_texts_of_edited_families(spark, big):
         for j in range(i):
             if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
                 comp[max(find(i), find(j))] = min(find(i), find(j))
-    got = {r.doc_id: r.component_id for r in simhash_texts.near_texts(spark.createDataFrame(rows, "doc_id long, text string"), big=big).collect()}
+    got = {r.doc_id: r.component_id for r in simhash_texts.near_texts(spark.createDataFrame(rows, "doc_id long, text string"), big=big, dense_rows=big).collect()}
     assert got == {i: find(i) for i in range(len(rows))}
 
 
