@@ -24,6 +24,8 @@ def cut(df: DataFrame) -> DataFrame:
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoints-"))
     return df.checkpoint()
 
