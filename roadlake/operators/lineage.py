@@ -11,5 +11,8 @@ def cut(df: DataFrame) -> DataFrame:
     """Checkpoint in the folder that the cluster names in spark.checkpoint.dir; a folder of our own only where it is unset."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoints-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoints-"))
     return df.checkpoint()
