@@ -6,9 +6,9 @@ differ by at most one bit, with probability 1 - miss, at that similarity. Each s
 as a wildcard, for the ``weak`` bits nearest to a tie, which are those that edits turn. Rows that meet by equality of a
 key are compared on 128 further bits, and those that pass on their whole sets, so every link is exact.
 
-Spark's part: texts with the same set are one node. Families are linked first, each node with the middle of a crowded bucket only; in the
-join over all keys, components with over BIG nodes are then left out of the comparison with themselves. So a large group
-of near copies gives pairs in proportion to its size, and nothing is dropped. Segments have about as many bits as log2 of the number of nodes, so
+Spark's part: texts with the same set are one node. Families are linked first, each node with the middle of a crowded bucket only;
+components with over BIG nodes are then left out of the comparison with themselves. Crowded buckets are split by the rare shingles of their
+texts, which texts that are similar enough must share. So a large group of near copies gives pairs in proportion to its size, and nothing is dropped. Segments have about as many bits as log2 of the number of nodes, so
 buckets of strangers stay small at every size; the number of segments follows.
 """
 
@@ -109,6 +109,26 @@ def _components(links: DataFrame) -> DataFrame:
     return connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
+def _side(df: DataFrame, node: str, extra: list[str] = []) -> DataFrame:  # noqa: B006
+    """One side of a join on key, with the columns named for it."""
+    s = {"a": "x", "b": "y"}[node]
+    return df.select("key", F.col("node").alias(node), F.col("s1").alias(f"{s}1"), F.col("s2").alias(f"{s}2"), *[F.col(c).alias(f"{c}_{node}") for c in extra])
+
+
+def _rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """node, set -> key, node, n (size of the set), at, heads: the prefix of each set in order of rarity, shingles that no other set has left out.
+
+    Sets x and y share at least percent / (100 + percent) * (|x| + |y|) shingles or are not similar enough. So the larger set's first
+    |x| - percent * |x| / 100 + 1 shingles and the smaller set's first |y| - 2 * percent * |y| / (100 + percent) + 1 (``heads``) have one in common.
+    """
+    each = cut(sets.select("node", F.explode("set").alias("key")))
+    often = each.groupBy("key").agg(F.count(F.lit(1)).alias("df"))
+    ranked = each.join(often, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("s")).withColumn("n", F.size("s"))
+    prefix = ranked.select("node", "n", F.posexplode(F.slice("s", F.lit(1), (F.col("n") - F.ceil(percent * F.col("n") / 100) + 1).cast("int"))).alias("at", "s"))
+    heads = F.col("at") <= F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent))
+    return prefix.filter("s.df > 1").select(F.col("s.key").alias("key"), "node", "n", "at", heads.alias("heads"))
+
+
 def near_texts(docs: DataFrame, width: int = 5, percent: int = 80, weak: int = 4, miss: float = 0.01, big: int = BIG, dense_rows: int = DENSE, text_col: str = "text") -> DataFrame:
     """documents -> doc_id, text_hash (xxhash64 of the text), component_id, leads; one row per row with an id.
 
@@ -140,13 +160,16 @@ def near_texts(docs: DataFrame, width: int = 5, percent: int = 80, weak: int = 4
     rows = cut(map_text(docs, ["doc_id", "text_hash"], fields, sign))
     nodes = cut(rows.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first(F.struct("s1", "s2", "keys")).alias("s")).select("node", "rep", "s.*"))
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are similar enough, on their whole sets."""
-        used = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    def sets_of(used: DataFrame) -> DataFrame:
+        """node, set: the whole sets of those nodes, read from their texts."""
         ids = cut(used.join(nodes.select("node", "rep"), "node").select(F.col("rep").alias("doc_id")).distinct())
         some = docs.join(small_or_not(ids, ids.count()), "doc_id", "left_semi")
         sets = map_text(some, [], [("node", T.LongType()), ("set", T.ArrayType(T.LongType()))], show)
-        sets = cut(sets.groupBy("node").agg(F.first("set").alias("set")))
+        return sets.join(used, "node", "left_semi").groupBy("node").agg(F.first("set").alias("set"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are similar enough, on their whole sets."""
+        sets = cut(sets_of(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()))
         hashes = sets.agg(F.coalesce(F.sum(F.size("set")), F.lit(0))).first()[0]
         sets = small_or_not(sets, hashes, SENT_HASHES)
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
@@ -157,7 +180,8 @@ def near_texts(docs: DataFrame, width: int = 5, percent: int = 80, weak: int = 4
     # copies of one text are linked to that text; a node keeps its nearest middle.
     held = nodes.select(F.explode("keys").alias("key"), "node", "s1", "s2")
     dense = cut(held.groupBy("key").count().filter(F.col("count") >= dense_rows).select("key"))
-    crowd = cut(held.join(small_or_not(dense, dense.count()), "key", "left_semi"))
+    n_dense = dense.count()
+    crowd = cut(held.join(small_or_not(dense, n_dense), "key", "left_semi"))
     bit = lambda c, i: F.shiftright(c, i).bitwiseAND(F.lit(1))
     ones = crowd.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *[F.sum(bit(c, i)).alias(f"{c}_{i}") for c in ("s1", "s2") for i in range(64)])
     major = ones.select("key", *[reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft((2 * F.col(f"{c}_{i}") > F.col("n")).cast("long"), i) for i in range(64)]).alias(f"m{c}") for c in ("s1", "s2")])
@@ -167,25 +191,44 @@ def near_texts(docs: DataFrame, width: int = 5, percent: int = 80, weak: int = 4
     met = crowd.select("key", F.col("node").alias("b"), F.col("s1").alias("y1"), F.col("s2").alias("y2")).join(middle, "key").filter((F.col("a") != F.col("b")) & (_apart() <= allowed))
     tried = cut(met.groupBy("b").agg(F.min(F.struct(_apart().alias("d"), "a")).alias("h")).select("h.a", "b"))
     families = cut(verified(tried))
-    placed = nodes.join(_components(families), "node", "left").select("node", "s1", "s2", "keys", F.coalesce("component", "node").alias("comp"))
-    large = cut(families.sparkSession.createDataFrame([], "comp long") if families.isEmpty() else placed.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > big).select("comp"))
-    n_large = large.count()
-    marked = placed.join(small_or_not(large.withColumn("large", F.lit(True)), n_large), "comp", "left").withColumn("large", F.coalesce("large", F.lit(False)))
-    met = cut(marked).select(F.explode("keys").alias("key"), "node", "s1", "s2", "comp", "large")
-
-    def side(df: DataFrame, node: str, s: str) -> DataFrame:
-        return df.select("key", F.col("node").alias(node), F.col("s1").alias(f"{s}1"), F.col("s2").alias(f"{s}2"), F.col("comp").alias(f"comp_{node}"))
-
+    # Crowded buckets are split by rare shingles: of two sets that are similar enough, the rarest shingles of both have one in common, and its
+    # places bound what they can share. So texts made from one another, but with too many edits of their own, never meet. First each node
+    # meets, for each of its shingles, only the one with the fewest shingles rarer than that, and keeps the nearest: families again.
+    crowded = cut(crowd.select("node", "s1", "s2").distinct())
+    rare = cut(_rare_shingles(sets_of(crowded.select("node")), percent).join(crowded, "node"))
+    enough = (100 + percent) * F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= percent * (F.col("n_a") + F.col("n_b"))
+    first = rare.groupBy("key").agg(F.min(F.struct("at", "node", "s1", "s2", "n")).alias("h")).select("key", "h.*")
+    met = _side(first, "a", ["n", "at"]).join(_side(rare, "b", ["n", "at"]), "key").filter((F.col("a") != F.col("b")) & enough & (_apart() <= allowed))
+    tried = cut(met.groupBy("b").agg(F.min(F.struct(_apart().alias("d"), "a")).alias("h")).select("h.a", "b"))
+    families = cut(families.unionByName(verified(tried)).distinct())
+
+    comps = cut(_components(families).select(F.col("node").alias("member"), F.col("component").alias("comp")))
+    large = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > big).select("comp", F.lit(True).alias("large"))
+    comps = cut(comps.join(large, "comp", "left").select("member", "comp", F.coalesce("large", F.lit(False)).alias("large")))
+    n_comps, n_large = comps.count(), comps.filter("large").count()
+    # Buckets that are not crowded: every pair in them.
+    held = held.join(small_or_not(dense, n_dense), "key", "left_anti")
+    pairs = _side(held, "a").join(_side(held, "b"), "key").filter((F.col("a") < F.col("b")) & (_apart() <= allowed)).select("a", "b")
+    for end in ("a", "b"):
+        own = comps.select(F.col("member").alias(end), F.col("comp").alias(f"comp_{end}"))
+        pairs = pairs.join(small_or_not(own, n_comps), end, "left").withColumn(f"comp_{end}", F.coalesce(f"comp_{end}", end))
+    pairs = pairs.filter("comp_a <> comp_b").select("a", "b")
+
+    # Crowded buckets: pairs that share a rare shingle and are not in one family.
+    rare = rare.join(small_or_not(comps, n_comps), F.col("node") == F.col("member"), "left").withColumn("comp", F.coalesce("comp", "node")).withColumn("large", F.coalesce("large", F.lit(False)))
     one = (F.col("comp_a") != F.col("comp_b")) & (_apart() <= allowed)
-    few = met.filter("NOT large")
-    pairs = side(few, "a", "x").join(side(few, "b", "y"), "key").filter(one & (F.col("a") < F.col("b"))).select("a", "b")
+    extra = ["comp", "n", "at"]
+    order = (F.col("n_a") > F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
+    few = rare.filter("NOT large")
+    pairs = pairs.unionByName(_side(few, "a", extra).join(_side(few.filter("heads"), "b", extra), "key").filter(one & order & enough).select("a", "b"))
     if n_large:
-        many = met.filter("large")
-        pairs = pairs.unionByName(side(few, "a", "x").join(side(many, "b", "y"), "key").filter(one).select("a", "b"))
-        held = many.select("key", "comp").distinct()
-        across = held.select("key", F.col("comp").alias("comp_a")).join(held.select("key", F.col("comp").alias("comp_b")), "key").filter("comp_a < comp_b")
-        pairs = pairs.unionByName(across.join(side(many, "a", "x"), ["key", "comp_a"]).join(side(many, "b", "y"), ["key", "comp_b"]).filter(one).select("a", "b"))
-    links = families.unionByName(verified(cut(pairs.distinct())))
+        many = rare.filter("large")
+        pairs = pairs.unionByName(_side(few, "a", extra).join(_side(many, "b", extra), "key").filter(one & enough).select("a", "b"))
+        there = many.select("key", "comp").distinct()
+        across = there.select("key", F.col("comp").alias("comp_a")).join(there.select("key", F.col("comp").alias("comp_b")), "key").filter("comp_a < comp_b")
+        pairs = pairs.unionByName(across.join(_side(many, "a", extra), ["key", "comp_a"]).join(_side(many, "b", extra), ["key", "comp_b"]).filter(one & enough).select("a", "b"))
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = families.unionByName(verified(cut(pairs)))
 
     comps = _components(links)
     labelled = nodes.select("node", "rep").join(comps, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
