@@ -230,18 +230,18 @@ def fit(stats: DataFrame, prior_rows: float = PRIOR_ROWS, max_steps: int = MAX_S
     good = assign_groups(stats.withColumns(vectors())).withColumn("good", ~base_failed()).select("g_own", "g_lang", "good", *FEATURES)
     groups = cut(good.select("g_own", "g_lang").distinct())
     n_groups = 3 * groups.count() + 1
-    brief = lambda df: cut(df.coalesce(ceil(n_groups / TASK_GROUPS)))  # noqa: E731  one row per estimate
+    few = lambda df: df.coalesce(ceil(n_groups / TASK_GROUPS))  # noqa: E731  one row per estimate; below Python, which starts once a partition
     rows = cut(good.filter("good").select(F.explode(F.array("g_own", "g_lang", F.lit("all"))).alias("g"), *FEATURES))
 
     p = len(FEATURES)
     quarter = lambda q: [F.percentile_approx(f, q, 10_000).alias(f"q_{f}") for f in FEATURES]
     middle = rows.groupBy("g").agg(*quarter([0.25, 0.5, 0.75]))
-    middle = brief(middle.select("g", F.array(*[F.col(f"q_{f}")[1] for f in FEATURES]).alias("m"), F.array(*[(F.col(f"q_{f}")[2] - F.col(f"q_{f}")[0]) / 1.349 for f in FEATURES]).alias("s")))
+    middle = cut(few(middle).select("g", F.array(*[F.col(f"q_{f}")[1] for f in FEATURES]).alias("m"), F.array(*[(F.col(f"q_{f}")[2] - F.col(f"q_{f}")[0]) / 1.349 for f in FEATURES]).alias("s")))
     first = lambda i: F.lit(1.0) / F.when(F.col("s")[i] < RIDGE, FLOORS[FEATURES[i]]).otherwise(F.col("s")[i])
     single = middle.select("g", F.lit(0).alias("start"), "m", F.array(*[first(i) if i == j else F.lit(0.0) for i in range(p) for j in range(p)]).alias("w"), F.lit(float("inf")).alias("logdet"))
     spreads = small_or_not(middle.select("g", "s"), n_groups)
-    plain = _estimate(_moments(rows.withColumn("start", F.lit(1))).join(spreads, "g")).select("g", "start", "m", "w", F.lit(float("inf")).alias("logdet"))
-    falling = brief(single.unionByName(plain))
+    plain = _estimate(few(_moments(rows.withColumn("start", F.lit(1))).join(spreads, "g"))).select("g", "start", "m", "w", F.lit(float("inf")).alias("logdet"))
+    falling = cut(few(single.unionByName(plain)))
 
     def distances(of: DataFrame) -> DataFrame:
         return rows.join(small_or_not(of.select("g", "start", "m", "w"), 2 * n_groups), "g").withColumn("d2", _distance())
@@ -249,26 +249,26 @@ def fit(stats: DataFrame, prior_rows: float = PRIOR_ROWS, max_steps: int = MAX_S
     settled = falling.limit(0).select("g", "start", "m", "w", "logdet")
     for _ in range(max_steps):  # only estimates whose determinant still falls are stepped again
         at = distances(falling)
-        half = at.groupBy("g", "start").agg(F.percentile_approx("d2", 0.5, 10_000).alias("h"))
+        half = few(at.groupBy("g", "start").agg(F.percentile_approx("d2", 0.5, 10_000).alias("h")))
         inner = at.join(small_or_not(half, 2 * n_groups), ["g", "start"]).filter("d2 <= h")
         before = falling.select("g", "start", F.col("logdet").alias("was"))
-        params = brief(_estimate(_moments(inner).join(spreads, "g")).join(small_or_not(before, 2 * n_groups), ["g", "start"]))
+        params = cut(_estimate(few(_moments(inner).join(spreads, "g"))).join(small_or_not(before, 2 * n_groups), ["g", "start"]))
         on = F.col("was") - F.col("logdet") > SETTLED
         settled = settled.unionByName(params.filter(~on).select("g", "start", "m", "w", "logdet"))
         falling = params.filter(on).select("g", "start", "m", "w", "logdet")
         if not falling.limit(1).count():
             break
     best = settled.unionByName(falling).withColumn("place", F.row_number().over(W.partitionBy("g").orderBy("logdet", "start"))).filter("place = 1").select("g", "start", "m", "w")
-    at = distances(brief(best))
+    at = distances(cut(few(best)))
     # The half's covariance is too small; the median distance, to which constant statistics add nothing, says by how much. It never shrinks the spread.
     medians = F.array(F.lit(1.0), *[F.lit(chi2_quantile(k, 0.5)) for k in range(1, p + 1)])
     moving = F.size(F.filter("s", lambda x: x >= RIDGE))
-    scale = at.groupBy("g").agg(F.percentile_approx("d2", 0.5, 10_000).alias("h")).join(spreads, "g").select("g", F.greatest(F.lit(1.0), F.col("h") / F.element_at(medians, moving + 1)).alias("scale"))
+    scale = few(at.groupBy("g").agg(F.percentile_approx("d2", 0.5, 10_000).alias("h"))).join(spreads, "g").select("g", F.greatest(F.lit(1.0), F.col("h") / F.element_at(medians, moving + 1)).alias("scale"))
     inner = at.join(small_or_not(scale, n_groups), "g").filter(F.col("d2") / F.col("scale") <= chi2_quantile(p, 0.975))
-    final = brief(_estimate(_moments(inner).join(spreads, "g")).select("g", "n", "m", "cov"))
+    final = cut(_estimate(few(_moments(inner).join(spreads, "g"))).select("g", "n", "m", "cov"))
     level = lambda name: small_or_not(final.select(F.col("g").alias(f"g_{name}"), F.col("n").alias(f"n_{name}"), F.col("m").alias(f"m_{name}"), F.col("cov").alias(f"cov_{name}")), n_groups)
     levels = groups.join(level("own"), "g_own", "left").join(level("lang"), "g_lang", "left").withColumn("g_all", F.lit("all")).join(level("all"), "g_all").fillna(0, ["n_own", "n_lang"])
-    return brief(_shrink(levels, prior_rows)), n_groups
+    return cut(_shrink(few(levels), prior_rows)), n_groups
 
 
 def judge(stats: DataFrame, estimates: DataFrame, n_groups: int, prob: float = 0.9999) -> DataFrame:
