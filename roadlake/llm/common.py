@@ -16,17 +16,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 100_000
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a checkpoint in the folder that the cluster names in spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir, for tables and checkpoints between steps.
 
     Only where that setting is empty (tests, a laptop) is a folder of our own made.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
         if not named and not sc.master.startswith("local"):
             raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoints-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

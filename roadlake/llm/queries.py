@@ -1,4 +1,4 @@
-"""Queries op1..op10 and pipeline: each applies its operator to the whole table with production parameters."""
+"""Queries op1..op13 and pipeline: each applies its operator to the whole table with production parameters."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlake.llm import byte_bpe, chat_perspective, fair_mix, hmm_lm, license_index, mih_search, page_diff, quality_mcd, simhash_dedup, toxicity_nnpu
+from roadlake.llm import byte_bpe, chat_perspective, fair_mix, fill_middle, hard_negatives, hmm_lm, license_index, mih_search, page_diff, personal_data, quality_mcd, simhash_dedup, toxicity_nnpu
 from roadlake.llm.common import crc_mod, table
 
 #: Score from which a document counts as toxic.
@@ -63,6 +63,26 @@ def op10_chat_perspective(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_perspective.rotate_perspectives(table(spark, sf_dir, "conversations"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(back).alias("restored_sha256"))
+
+
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = personal_data.find_personal_data(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    counts = [count(i).alias(f"n_{kind}") for i, kind in enumerate(personal_data.KINDS)]
+    text = personal_data.span_text
+    return spans.select("doc_id", *counts, F.sha2(text(F.col("base")).cast("binary"), 256).alias("base_sha256"), text(F.concat("base", "found")).alias("spans"), F.size("found").cast("long").alias("n_found"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -70,7 +90,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_mcd, op2_mih_search, op3_simhash_dedup, op4_page_diff, op5_fair_mix, op6_toxicity_nnpu, op7_byte_bpe, op8_license_index, op9_hmm_lm, op10_chat_perspective, pipeline)}
+    first = (op1_quality_mcd, op2_mih_search, op3_simhash_dedup, op4_page_diff, op5_fair_mix, op6_toxicity_nnpu, op7_byte_bpe, op8_license_index, op9_hmm_lm, op10_chat_perspective)
+    return {f.__name__: f for f in (*first, op11_fill_middle, op12_personal_data, op13_hard_negatives, pipeline)}
 
 
 OP5_SQL = r"""
@@ -113,5 +134,37 @@ FROM placed
 """
 
 
+OP11_SQL = r"""
+WITH h AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256(concat('1:', coalesce(CAST(doc_id AS VARCHAR), ''))) AS d,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u
+  FROM documents),
+c AS (SELECT doc_id, t, u, CAST(len(u) AS BIGINT) AS n, CAST(concat('0x', substr(d, 1, 8)) AS BIGINT) % (len(u) + 1) AS a, CAST(concat('0x', substr(d, 9, 8)) AS BIGINT) % (len(u) + 1) AS b,
+             CAST(concat('0x', substr(d, 17, 8)) AS BIGINT) % 100 AS draw, CAST(concat('0x', substr(d, 25, 8)) AS BIGINT) % 100 AS turn FROM h),
+f AS (SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR draw >= 90 THEN 'plain' WHEN turn < 20 THEN 'spm' ELSE 'psm' END AS form,
+             array_to_string(u[1:least(a, b)], '') AS p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m, array_to_string(u[greatest(a, b) + 1:], '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN concat('<P>', p, '<S>', s, '<M>', m) ELSE concat('<S>', s, '<P>', p, '<M>', m) END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM f
+"""
+
+OP13_SQL = r"""
+WITH e AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, o.vec_id AS other, a.label = o.label AS same, CAST(list_sum(list_transform(list_zip(a.v, o.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM e a JOIN e o ON a.vec_id % 100 = 0 AND a.vec_id <> o.vec_id),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INT) AS rank, s.other AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other)
+QUALIFY row_number() OVER w <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_fair_mix": OP5_SQL, "op10_chat_perspective": OP10_SQL}
+    return {"op5_fair_mix": OP5_SQL, "op10_chat_perspective": OP10_SQL, "op11_fill_middle": OP11_SQL, "op13_hard_negatives": OP13_SQL}
