@@ -108,6 +108,27 @@ WHERE r.junction_id <> -1
     ),
 }
 
+# Records of all five kinds in turn, and a lane offset along each road.
+VIEWS |= {
+    "c_geometry": (
+        ["d_geometry"],
+        """
+SELECT map_id, road_id, seq, CAST(s0 AS DOUBLE) AS s0, CAST(s1 AS DOUBLE) AS s1, CAST(length AS DOUBLE) AS length, x, y, hdg,
+       CASE (road_id + seq) % 5 WHEN 0 THEN 'line' WHEN 1 THEN 'arc' WHEN 2 THEN 'spiral' WHEN 3 THEN 'poly3' ELSE 'paramPoly3' END AS kind,
+       curvature AS k0, -curvature AS k1, 0e0 AS ua, CAST(length AS DOUBLE) AS ub, 0e0 AS uc, 0e0 AS ud, 0e0 AS va, 0e0 AS vb,
+       CASE WHEN (road_id + seq) % 5 = 3 THEN curvature / 5 ELSE curvature * length END AS vc,
+       CASE WHEN (road_id + seq) % 5 = 3 THEN 0e0 ELSE -curvature * length / 2 END AS vd, 1 = 0 AS by_length
+FROM d_geometry
+""",
+    ),
+    "c_lane_offset": (
+        ["d_geometry"],
+        """
+SELECT map_id, road_id, s0, s1, CAST(seq AS DOUBLE) / 4e0 AS a, curvature / 5e0 AS b, 0e0 AS c, 0e0 AS d FROM d_geometry
+""",
+    ),
+}
+
 # The same tables as a network with more of what real ones have: each road id stands in two maps; lane ids change along links; links of 0; lanes that
 # not every section has; roads laid head to head; roads that lead into junctions.
 VIEWS |= {
