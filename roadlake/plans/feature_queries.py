@@ -35,7 +35,12 @@ def ao4_adjacent_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 MARKS = "m AS (SELECT map_id, road_id, section_id, lane_id, CASE abs(lane_id) WHEN 1 THEN 1 WHEN 2 THEN CASE WHEN road_id % 2 = 0 THEN 2 ELSE 3 END ELSE 0 END AS change FROM d_lanes UNION ALL SELECT map_id, road_id, section_id, 0, CAST(road_id % 4 AS INT) FROM d_sections WHERE road_id % 5 <> 0)"
 
 
-@query(f"more {MARKS}, k AS MATERIALIZED (SELECT *, lane_id - CAST(sign(lane_id) AS INT) AS inner_lane FROM m) SELECT o.road_id, o.section_id, o.lane_id, CASE WHEN o.lane_id < 0 THEN o.change & 1 ELSE o.change >> 1 END + CASE WHEN o.lane_id < 0 THEN coalesce(i.change, 3) & 2 ELSE (coalesce(i.change, 3) & 1) * 2 END AS allowed FROM k o LEFT JOIN k i ON i.road_id = o.road_id AND i.section_id = o.section_id AND i.lane_id = o.inner_lane WHERE o.lane_id <> 0", "d_lanes", "d_sections")
+@query(
+    f"more {MARKS}, k AS (SELECT *, list(struct_pack(lane := lane_id, change := change)) OVER (PARTITION BY map_id, road_id, section_id) AS held, lane_id - CAST(sign(lane_id) AS INT) AS inner_lane FROM m), "
+    "o AS (SELECT *, list_filter(held, lambda h: h.lane = inner_lane)[1].change AS inner_change FROM k WHERE lane_id <> 0) "
+    "SELECT road_id, section_id, lane_id, CASE WHEN lane_id < 0 THEN change & 1 ELSE change >> 1 END + CASE WHEN lane_id < 0 THEN coalesce(inner_change, 3) & 2 ELSE (coalesce(inner_change, 3) & 1) * 2 END AS allowed FROM o",
+    "d_lanes", "d_sections",
+)
 def ao12_lane_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     derived(spark, sf_dir, "d_lanes", "d_sections")
     marks = spark.sql(f"WITH {MARKS} SELECT * FROM m")

@@ -61,7 +61,7 @@ def jg3_edge_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asof.lane_extent(sections, lanes)
 
 
-@query("more o AS MATERIALIZED (SELECT *, lane_id + CAST(sign(lane_id) AS INT) AS r, CASE WHEN abs(lane_id) = 1 THEN -lane_id ELSE lane_id - CAST(sign(lane_id) AS INT) END AS f FROM v_lanes) SELECT o.map_id, o.road_id, o.section_id, o.lane_id, a.lane_id AS right_lane, b.lane_id AS left_lane FROM o LEFT JOIN o a ON a.map_id = o.map_id AND a.road_id = o.road_id AND a.section_id = o.section_id AND a.lane_id = o.r LEFT JOIN o b ON b.map_id = o.map_id AND b.road_id = o.road_id AND b.section_id = o.section_id AND b.lane_id = o.f", "v_lanes")
+@query("more o AS (SELECT *, lane_id + CAST(sign(lane_id) AS INT) AS r, CASE WHEN abs(lane_id) = 1 THEN -lane_id ELSE lane_id - CAST(sign(lane_id) AS INT) END AS f, list(lane_id) OVER (PARTITION BY map_id, road_id, section_id) AS held FROM v_lanes) SELECT map_id, road_id, section_id, lane_id, CASE WHEN list_contains(held, r) THEN r END AS right_lane, CASE WHEN list_contains(held, f) THEN f END AS left_lane FROM o", "v_lanes")
 def jg8_side_lanes_of_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.side_lanes(*derived(spark, sf_dir, "v_lanes"))
 

@@ -211,7 +211,7 @@ def jg2_junction_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.junction_options(*derived(spark, sf_dir, "d_connections"))
 
 
-@query("more o AS MATERIALIZED (SELECT road_id, section_id, lane_id, lane_id + CAST(sign(lane_id) AS INT) AS r, CASE WHEN abs(lane_id) = 1 THEN -lane_id ELSE lane_id - CAST(sign(lane_id) AS INT) END AS f FROM d_lanes) SELECT l.road_id, l.section_id, l.lane_id, r.lane_id AS right_lane, f.lane_id AS left_lane FROM o l LEFT JOIN o r ON r.road_id = l.road_id AND r.section_id = l.section_id AND r.lane_id = l.r LEFT JOIN o f ON f.road_id = l.road_id AND f.section_id = l.section_id AND f.lane_id = l.f", "d_lanes")
+@query("more o AS (SELECT road_id, section_id, lane_id, lane_id + CAST(sign(lane_id) AS INT) AS r, CASE WHEN abs(lane_id) = 1 THEN -lane_id ELSE lane_id - CAST(sign(lane_id) AS INT) END AS f, list(lane_id) OVER (PARTITION BY map_id, road_id, section_id) AS held FROM d_lanes) SELECT road_id, section_id, lane_id, CASE WHEN list_contains(held, r) THEN r END AS right_lane, CASE WHEN list_contains(held, f) THEN f END AS left_lane FROM o", "d_lanes")
 def jg8_side_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.side_lanes(*derived(spark, sf_dir, "d_lanes")).drop("map_id")
 
