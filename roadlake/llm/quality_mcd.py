@@ -200,22 +200,26 @@ def _shrink(levels: DataFrame, prior_rows: float) -> DataFrame:
     return levels.mapInPandas(run, T.StructType([T.StructField("g_own", T.StringType()), T.StructField("m", _ARRAY), T.StructField("w", _ARRAY)]))
 
 
-def _distance() -> Column:
+def _distance(prefix: str = "") -> Column:
     """Squared Mahalanobis distance from columns m (centre) and w (whitening matrix, by rows), in generated code."""
     p = len(FEATURES)
     total = F.lit(0.0)
     for i in range(p):
         part = F.lit(0.0)
         for j, f in enumerate(FEATURES):
-            part = part + F.col("w")[i * p + j] * (F.col(f) - F.col("m")[j])
+            part = part + F.col(f"{prefix}w")[i * p + j] * (F.col(f"{prefix}{f}") - F.col(f"{prefix}m")[j])
         total = total + part * part
     return total
 
 
+def own_group() -> Column:
+    """Name of the row's (lang, source) group."""
+    return F.concat_ws("\x1f", F.lit("own"), F.coalesce(F.col("lang"), F.lit("\x00")), F.coalesce(F.col("source"), F.lit("\x00")))
+
+
 def assign_groups(rows: DataFrame) -> DataFrame:
     """Names of the row's (lang, source) group and of its language."""
-    own = F.concat_ws("\x1f", F.lit("own"), F.coalesce(F.col("lang"), F.lit("\x00")), F.coalesce(F.col("source"), F.lit("\x00")))
-    return rows.withColumns({"g_own": own, "g_lang": F.concat_ws("\x1f", F.lit("lang"), F.coalesce(F.col("lang"), F.lit("\x00")))})
+    return rows.withColumns({"g_own": own_group(), "g_lang": F.concat_ws("\x1f", F.lit("lang"), F.coalesce(F.col("lang"), F.lit("\x00")))})
 
 
 def fit(stats: DataFrame, prior_rows: float = PRIOR_ROWS, max_steps: int = MAX_STEPS) -> tuple[DataFrame, int]:
@@ -271,19 +275,28 @@ def fit(stats: DataFrame, prior_rows: float = PRIOR_ROWS, max_steps: int = MAX_S
     return cut(_shrink(few(levels), prior_rows)), n_groups
 
 
+#: Columns of the judge's own start so, beside whatever columns the rows bring.
+RESERVED = "__mcd_"
+VERDICTS = ("base_failed", "distance", "kept")
+
+
 def judge(stats: DataFrame, estimates: DataFrame, n_groups: int, prob: float = 0.9999) -> DataFrame:
-    """Add base_failed, distance (squared; null where no estimate exists) and kept."""
+    """Add base_failed, distance (squared; null where no estimate exists) and kept.
+
+    Every other column of stats comes through with its values, whatever its name; only the prefix __mcd_ is reserved.
+    """
     cut_off = chi2_quantile(len(FEATURES), prob)
-    names = stats.columns
-    at = assign_groups(stats.withColumns(vectors())).join(small_or_not(estimates, n_groups), "g_own", "left")
-    return at.select(*names, base_failed().alias("base_failed"), _distance().alias("distance")).withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= cut_off, F.lit(True)))
+    names = [F.col(f"`{c}`") for c in stats.columns if c.lower() not in VERDICTS]
+    known = estimates.select(*[F.col(c).alias(RESERVED + c) for c in ("g_own", "m", "w")])
+    at = stats.withColumns({RESERVED + n: c for n, c in {**vectors(), "g_own": own_group()}.items()}).join(small_or_not(known, n_groups), RESERVED + "g_own", "left")
+    return at.select(*names, base_failed().alias("base_failed"), _distance(RESERVED).alias("distance")).withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= cut_off, F.lit(True)))
 
 
 def quality_verdicts(docs: DataFrame, keep: list[str] | None = None, keep_text: bool = False, prior_rows: float = PRIOR_ROWS, prob: float = 0.9999) -> DataFrame:
     """Statistics, base rules and MCD verdict of every document.
 
     Nulls: a null text is empty (base_failed); null lang or source are groups of their own; a null doc_id stays null.
-    Repeated rows are judged alike. An empty table gives an empty result. The estimate of a group with few good rows leans on its language's,
+    Repeated rows are judged alike. Kept columns may have any names but those of the counts and verdicts, which take their place. An empty table gives an empty result. The estimate of a group with few good rows leans on its language's,
     and that on all rows' (prior_rows); without any good row every row is base_failed.
     Texts are read twice and never shuffled.
     """

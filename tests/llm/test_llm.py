@@ -437,6 +437,20 @@ def test_stages_take_odd_and_empty_rows(spark, odd, none, name, stage):
     assert stage(spark, none, SMALL).count() == 0
 
 
+def test_extra_columns_survive_every_stage(spark):
+    """Columns with the names of inner ones, of counts and of verdicts come out of each stage with their own values."""
+    names = ["m", "w", "v_dup", "g_own", "n_words", "N_Symbols", "kept", "Distance", "base_failed", "toxic_score", "size", "bag"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plain = docs
+    docs = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        got = out.select("doc_id", *names).collect()
+        assert got and all(r[n] == f"{n}{r.doc_id}" for r in got for n in names), name
+        assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in stage(spark, plain, SF).select("doc_id").collect()), name
+
+
 def test_near_duplicates_stage_by_brute_force_jaccard(spark, docs):
     def grams(text):
         w = (text or "").encode().lower().split()
