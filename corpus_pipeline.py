@@ -14,10 +14,11 @@ from roadlake.llm.queries import TOXIC, bpe_digests
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; columns as they came."""
-    verdicts = {"kept", "base_failed", "distance", *(n for n, _ in quality_mcd.STATS)}
-    named = docs.select(*[F.col(f"`{c}`").alias(f"own {c}") if c in verdicts else F.col(f"`{c}`") for c in docs.columns])
+    used = ("lang", "source", "text")
+    mine = {c: c if c in used else f"own {i}" for i, c in enumerate(docs.columns)}  # an extra column may have any name, one of the counts' included
+    named = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in mine.items()])
     judged = quality_mcd.quality_verdicts(named, named.columns, keep_text=True)
-    return judged.filter("kept").select(*[F.col(f"`own {c}`").alias(c) if c in verdicts else F.col(f"`{c}`") for c in docs.columns])
+    return judged.filter("kept").select(*[F.col(f"`{n}`").alias(c) for c, n in mine.items()])
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
