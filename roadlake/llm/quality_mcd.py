@@ -234,7 +234,8 @@ def fit(stats: DataFrame, prior_rows: float = PRIOR_ROWS, max_steps: int = MAX_S
     good = assign_groups(stats.withColumns(vectors())).withColumn("good", ~base_failed()).select("g_own", "g_lang", "good", *FEATURES)
     groups = cut(good.select("g_own", "g_lang").distinct())
     n_groups = 3 * groups.count() + 1
-    few = lambda df: df.coalesce(ceil(n_groups / TASK_GROUPS))  # noqa: E731  one row per estimate; below Python, which starts once a partition
+    # One row per estimate, below Python, which starts once a partition. An exchange of its own: sketches and sums are merged in the shuffle's partitions before it.
+    few = lambda df: df.repartition(ceil(n_groups / TASK_GROUPS))
     rows = cut(good.filter("good").select(F.explode(F.array("g_own", "g_lang", F.lit("all"))).alias("g"), *FEATURES))
 
     p = len(FEATURES)
