@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from functools import reduce
-from math import sqrt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlake.operators.lineage import cut
@@ -14,15 +13,15 @@ from roadlake.operators.lineage import cut
 def dedupe_marks(marks: DataFrame, radius: float = 2.5) -> DataFrame:
     """The marks (map_id, mark_id, x, y, z) that one pass in the order of mark_id keeps: those at least radius from every kept one before.
 
-    Any two marks of one cell are nearer than radius, so at most one of a cell is kept and only its first undecided mark is a candidate. In each round a
-    candidate is kept if it comes before the candidates of all cells within reach, and what is near a kept mark goes; the result is that of the sequential
+    Cells are a little wider than radius, so what is near a mark is in the 27 cells around it. The first undecided mark of a cell is a candidate; in each round
+    a candidate is kept if it comes before those of all 27 cells, and what is near a kept mark goes; the result is that of the sequential
     pass. A crowded cell is one candidate, not its pairs. The number of rounds is that of the longest chain of near cells in rising order; every round is checkpointed.
 
-    Of rows alike in all five columns one is kept. A mark with a null in a coordinate is near nothing and is kept.
+    Of rows alike in all five columns one is kept. A mark without a map, or with a null or non-finite coordinate, is near nothing and is kept. A null mark_id comes first.
     """
-    side, reach = radius / sqrt(3.0), range(-2, 3)
+    side, reach = radius * 1.001, (-1, 0, 1)
     known = marks.select("map_id", "mark_id", *[F.col(c).cast("double").alias(c) for c in "xyz"])
-    placed = F.col("x").isNotNull() & F.col("y").isNotNull() & F.col("z").isNotNull()
+    placed = F.coalesce(reduce(Column.__and__, [F.abs(c) < float("inf") for c in "xyz"], F.col("map_id").isNotNull()), F.lit(False))
     at = lambda dx, dy, dz: F.struct(*[(F.floor(F.col(c) / side) + d).alias(f"c{c}") for c, d in zip("xyz", (dx, dy, dz), strict=True)])
     around = F.explode(F.array(*[at(i, j, k) for i in reach for j in reach for k in reach]))
     left = cut(known.filter(placed).withColumn("cell", at(0, 0, 0)))
@@ -32,7 +31,7 @@ def dedupe_marks(marks: DataFrame, radius: float = 2.5) -> DataFrame:
         heard = first.select("map_id", "f", "f.x", "f.y", "f.z").select("map_id", around.alias("cell"), "f").groupBy("map_id", "cell").agg(F.min("f").alias("least"))
         kept = cut(first.join(heard, ["map_id", "cell"]).filter(F.col("f") == F.col("least")).select("map_id", "f.*"))
         found.append(kept)
-        near = kept.select("map_id", around.alias("cell"), *[F.col(c).alias(f"k{c}") for c in "xyz"])  # at most one of each cell, so a mark meets 125 at most
+        near = kept.select("map_id", around.alias("cell"), *[F.col(c).alias(f"k{c}") for c in "xyz"])  # kept marks are apart, so a cell meets a bounded number
         d2 = sum(((F.col(c) - F.col(f"k{c}")) * (F.col(c) - F.col(f"k{c}")) for c in "xyz"), F.lit(0.0))
         # A kept mark is at distance 0 from itself and leaves with the others.
         gone = (left["map_id"] == near["map_id"]) & (left["cell"] == near["cell"]) & (F.sqrt(d2) < radius)
