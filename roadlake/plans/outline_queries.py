@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlake.functions.scalar import tidy
-from roadlake.operators import crosswalks, decimate, mesh, surface
+from roadlake.operators import crosswalks, decimate, mesh, signals, surface
 from roadlake.plans.curve_queries import MIDDLE, SHARE
 from roadlake.plans.derived import VIEWS, derived
 from roadlake.plans.road_queries import query
@@ -101,3 +101,20 @@ def sf24_decimated_strips(spark: SparkSession, sf_dir: str) -> DataFrame:
     vertices, triangles = decimate.decimate(joined[0].withColumn("z", surface.wave_height(F.col("x"), F.col("y"))), joined[1], RATIO)
     met = decimate.with_corners(triangles, vertices, ["x", "y", "z"])
     return met.select("map_id", "a", "b", "c", *[tidy(F.col(f"{k}_{c}"), 2).alias(f"{k}_{c}") for k in "abc" for c in "xyz"])
+
+
+# Validities of signal references: none on some, lane 0 alone on some, once or twice, lane 0 beside others on the rest.
+VIEWS["x_validities"] = (
+    ["d_signal_refs"],
+    """
+SELECT g.signal_id AS ref_id, CASE WHEN g.road_id % 4 = 1 OR k.k = 0 THEN 0 ELSE -2 END AS from_lane, CASE WHEN g.road_id % 4 = 2 AND k.k = 1 THEN -1 ELSE 0 END AS to_lane
+FROM d_signal_refs g CROSS JOIN (VALUES (0), (1)) AS k(k) WHERE g.road_id % 4 <> 0 AND NOT (k.k = 1 AND g.road_id % 3 = 0)
+""",
+)
+
+
+@query("SELECT signal_id, road_id FROM d_signal_refs g WHERE NOT EXISTS (SELECT 1 FROM x_validities v WHERE v.ref_id = g.signal_id) OR EXISTS (SELECT 1 FROM x_validities v WHERE v.ref_id = g.signal_id AND (v.from_lane <> 0 OR v.to_lane <> 0))", "d_signal_refs", "x_validities")
+def jg16_references_off_lane_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signal references that are not for lane 0 alone."""
+    refs, validities = derived(spark, sf_dir, "d_signal_refs", "x_validities")
+    return signals.drop_zero_validity(refs.withColumn("ref_id", F.col("signal_id")), validities).select("signal_id", "road_id")

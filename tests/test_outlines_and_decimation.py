@@ -5,7 +5,7 @@ import math
 
 import numpy as np
 
-from roadlake.operators import crosswalks, decimate
+from roadlake.operators import crosswalks, decimate, signals
 
 GEOMETRY = "map_id int, road_id long, s0 double, s1 double, length double, x double, y double, hdg double, kind string, k0 double, k1 double, " + ", ".join(f"{a}{c} double" for a in "uv" for c in "abcd") + ", by_length boolean"
 RECORDS = "map_id int, road_id long, s0 double, s1 double, a double, b double, c double, d double"
@@ -139,3 +139,11 @@ def test_decimation(spark):
             assert len(set(ours)) == len(ours) <= ratio * len(own) and set(ours) == made
     assert all(d.count() == 0 for d in decimate.decimate(vertices.limit(0), triangles.limit(0), 0.5))
     assert all(d.count() == 0 for d in decimate.decimate(vertices, triangles, 0.001))
+
+
+def test_references_for_lane_zero_go(spark):
+    refs = spark.createDataFrame([(k, k) for k in (1, 2, 3, 4, 4, None)], "ref_id int, other int")
+    validities = spark.createDataFrame([(1, 0, 0), (1, 0, 0), (2, 0, 0), (2, 0, -1), (4, None, 0), (None, 0, 0), (9, 0, 0)], "ref_id int, from_lane int, to_lane int")
+    got = sorted((r.ref_id or 0) for r in signals.drop_zero_validity(refs, validities).collect())
+    assert got == [0, 2, 3]
+    assert signals.drop_zero_validity(refs, validities.limit(0)).count() == 6
