@@ -59,7 +59,7 @@ def sp12_kept_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     "k AS (SELECT DISTINCT g.map_id + m.d AS map_id, g.road_id, CAST(g.road_id % 9 AS INT) - 4 AS lane_id, CAST(g.s AS DOUBLE) - 5 AS s FROM d_signal_refs g CROSS JOIN (VALUES (0), (8)) AS m(d)) "
     "SELECT k.map_id, k.road_id, k.lane_id, k.s, min(l.section_id) AS section_id FROM k LEFT JOIN e ON e.map_id = k.map_id AND e.road_id = k.road_id AND k.s >= 0 AND k.s >= e.s0 AND k.s < e.s1 "
     "LEFT JOIN v_lanes l ON l.map_id = e.map_id AND l.road_id = e.road_id AND l.section_id = e.section_id AND l.lane_id = k.lane_id GROUP BY ALL",
-    "v_sections", "v_roads", "v_lanes", "d_signal_refs",
+    "v_sections", "v_roads", "v_lanes", "d_signal_refs", roads=True,
 )
 def wg6_waypoints_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys 5 m before each signal on two maps that share road ids; some lanes, roads' ends and places do not exist."""
@@ -106,7 +106,7 @@ def pf4_junctions_in_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     "m AS (SELECT w.signal_id, w.lane_id, r.lane_id AS at, max_by(r.kind, r.s0) AS kind FROM w JOIN m_marks r ON r.map_id = w.map_id AND r.road_id = w.road_id AND r.section_id = w.section_id AND r.s0 <= w.s AND r.lane_id IN (w.lane_id, w.lane_id - CAST(sign(w.lane_id) AS INT)) GROUP BY ALL) "
     "SELECT w.signal_id, w.lane_id, CASE WHEN w.lane_id <> 0 THEN o.kind END AS own_mark, CASE WHEN w.lane_id <> 0 THEN i.kind END AS inner_mark FROM w LEFT JOIN m o ON o.signal_id = w.signal_id AND o.lane_id = w.lane_id AND o.at = w.lane_id "
     "LEFT JOIN m i ON i.signal_id = w.signal_id AND i.lane_id = w.lane_id AND i.at = w.lane_id - CAST(sign(w.lane_id) AS INT)",
-    "d_sections", "d_roads", "d_signal_refs", "m_marks",
+    "d_sections", "d_roads", "d_signal_refs", "m_marks", roads=True,
 )
 def ao10_marks_at_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Marks on both sides of the lanes -2 to 2 beside each signal."""
