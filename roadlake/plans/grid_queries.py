@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from roadlake.functions.scalar import tidy
 from roadlake.operators import distance_grid
 from roadlake.operators.distance_grid import BAND, CORNERS
-from roadlake.operators.lineage import cut
 from roadlake.plans.derived import derived
 from roadlake.plans.road_queries import SEGMENTS, lane_segments, query
 
@@ -46,30 +45,33 @@ EDGES = "edges AS (" + " UNION ALL ".join(
 ) + ")"
 
 
-def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+def inside(spark: SparkSession, sf_dir: str) -> DataFrame:
     segments = lane_segments(spark, sf_dir)
     (roads,) = derived(spark, sf_dir, "d_roads")
-    inside = segments.join(roads.filter("junction_id <> -1").select("map_id", "road_id", "junction_id"), ["map_id", "road_id"])
-    return distance_grid.junction_distance_grid(inside, STEP)
+    return segments.join(roads.filter("junction_id <> -1").select("map_id", "road_id", "junction_id"), ["map_id", "road_id"])
 
 
-@query(f"more {GRID} SELECT map_id, junction_id, i, j, CAST(floor(d * 1e4 + 5e-1) AS BIGINT) AS d_tenth_mm FROM grid", *READ)
+def slabs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distance_grid.slab(distance_grid.tiled_grid(inside(spark, sf_dir), STEP), STEP, THICK)
+
+
+@query(f"more {GRID} SELECT map_id, junction_id, i, j, CAST(floor(d * 1e4 + 5e-1) AS BIGINT) AS d_tenth_mm FROM grid", *READ, roads=True)
 def sf19_junction_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signed distances to the lanes of each junction in a band around them, in whole tenths of a millimetre."""
-    return grid(spark, sf_dir).select("map_id", "junction_id", "i", "j", F.floor(F.col("d") * 1e4 + 0.5).alias("d_tenth_mm"))
+    return distance_grid.junction_distance_grid(inside(spark, sf_dir), STEP).select("map_id", "junction_id", "i", "j", F.floor(F.col("d") * 1e4 + 0.5).alias("d_tenth_mm"))
 
 
-@query(f"more {GRID}, {MASKS} SELECT map_id, junction_id, i, j, k, mask FROM cells WHERE mask NOT IN (0, 255)", *READ)
+@query(f"more {GRID}, {MASKS} SELECT map_id, junction_id, i, j, k, mask FROM cells WHERE mask NOT IN (0, 255)", *READ, roads=True)
 def sf20_surface_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells through which the surface of the junctions' slabs passes, with the mask of their corners."""
-    return distance_grid.classify_cells(distance_grid.slab(grid(spark, sf_dir), STEP, THICK))
+    return distance_grid.classify_cells(slabs(spark, sf_dir))
 
 
 @query(
     f"more {GRID}, {MASKS}, {EDGES} SELECT DISTINCT map_id, junction_id, axis, i, j, k, round(-a / (b - a), 3) + 0e0 AS share FROM edges WHERE (a < 0) <> (b < 0)",
     *READ,
+    roads=True,
 )
 def sf20_surface_crossings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where that surface cuts the edges of these cells."""
-    field = cut(distance_grid.slab(grid(spark, sf_dir), STEP, THICK))
-    return distance_grid.edge_crossings(field, distance_grid.classify_cells(field)).withColumn("share", tidy(F.col("share"), 3))
+    return distance_grid.surface_crossings(slabs(spark, sf_dir)).withColumn("share", tidy(F.col("share"), 3))

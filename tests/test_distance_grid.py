@@ -1,9 +1,14 @@
 """Distance grids and surface cells against loops over all samples, segments and cells."""
 
 import math
+import re
 
+import pytest
+
+import __spark_entry__  # noqa: F401  (registers the queries)
 from roadlake.operators import distance_grid
 from roadlake.operators.distance_grid import BAND, CORNERS
+from roadlake.plans import road_queries
 
 SEGMENTS = "map_id int, junction_id int, x0 double, y0 double, x1 double, y1 double, width double"
 
@@ -63,3 +68,25 @@ def test_cells_of_odd_fields(spark):
     assert [(r.map_id, r.mask) for r in distance_grid.classify_cells(field).collect()] == [(0, 1)]
     assert {r.share for r in distance_grid.edge_crossings(field, distance_grid.classify_cells(field)).collect()} == {1.0}
     assert distance_grid.classify_cells(field.limit(0)).count() == 0
+
+
+def test_tiles_agree_with_the_whole_field(spark):
+    """Lanes over several tiles, along their borders and across their corners, on both sides of 0."""
+    side = distance_grid.TILE * 0.5
+    lanes = [(0, 1, -1.4 * side, -0.3 * side, 1.7 * side, 0.9 * side, 3.0), (0, 1, side, -0.4 * side, side, 1.2 * side, 1.0), (0, 1, -0.5, -0.5, 0.4, 0.6, 1.3), (0, 2, -0.2 * side, -side, 0.3 * side, -side, 2.0)]
+    segments = spark.createDataFrame(lanes, SEGMENTS)
+    rows = lambda d, *c: sorted(map(tuple, d.select("map_id", "junction_id", *c).collect()))
+    field, tiled = distance_grid.slab(distance_grid.junction_distance_grid(segments), 0.5, 0.2).cache(), distance_grid.slab(distance_grid.tiled_grid(segments), 0.5, 0.2)
+    samples = rows(field, "i", "j", "k", "value")
+    assert len(samples) == len(set(samples)) and samples == sorted(set(rows(tiled, "i", "j", "k", "value")))
+    cells = distance_grid.classify_cells(field)
+    assert rows(cells, "i", "j", "k", "mask") == rows(distance_grid.classify_cells(tiled), "i", "j", "k", "mask")
+    crossed = rows(distance_grid.surface_crossings(tiled), "axis", "i", "j", "k", "share")
+    assert crossed and crossed == rows(distance_grid.edge_crossings(field, cells), "axis", "i", "j", "k", "share")
+
+
+@pytest.mark.parametrize("name", ["sf19_junction_distances", "sf20_surface_cells", "sf20_surface_crossings"])
+def test_samples_cells_and_edges_are_not_shuffled(spark, name):
+    plan = road_queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert dealt and not [x for x in dealt if re.search(r"\b[ijk]#", x)]
