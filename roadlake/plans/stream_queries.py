@@ -24,11 +24,10 @@ REACH = 40.0
 
 @query(
     f"{NEAREST} SELECT event_id, CASE WHEN d2 <= 4e1 THEN road_id END AS road_id, CASE WHEN d2 <= 4e1 THEN seq END AS seq, CASE WHEN d2 <= 4e1 THEN lane_id END AS lane_id, CASE WHEN d2 <= 4e1 THEN d2 END AS distance FROM n",
-    "d_geometry", "d_lane_width", "d_pings",
+    "d_geometry", "d_lane_width", "d_pings", roads=True,
 )
 def st5_matched_poses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each pose with the nearest lane segment within 40 m, by one join with a table of cells."""
+    """Each pose with the nearest lane segment within 40 m, by the table form of the matching."""
     (pings,) = derived(spark, sf_dir, "d_pings")
-    cells = tile_streams.segment_cells(lane_segments(spark, sf_dir), REACH)
-    out = tile_streams.match_poses(pings, cells, REACH)
+    out = tile_streams.matched_poses(pings, lane_segments(spark, sf_dir), REACH)
     return out.select("event_id", "road_id", "seq", "lane_id", "distance")

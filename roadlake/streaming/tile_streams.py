@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlake.operators.spatial import point_to_segment
+from roadlake.operators.spatial import nearest_segments, point_to_segment
 from roadlake.operators.tiles import tile_of
 from roadlake.streaming import in_order
 
@@ -87,3 +87,15 @@ def match_poses(poses: DataFrame, cells: DataFrame, reach: float) -> DataFrame:
     met = poses.withColumns({"cx": F.floor(F.col("x") / reach), "cy": F.floor(F.col("y") / reach)}).join(cells, ["map_id", "cx", "cy"], "left")
     best = met.withColumn("best", F.array_min(F.filter(every, lambda m: m["distance"] <= reach)))
     return best.select(*poses.columns, *[F.col(f"best.{c}").alias(c) for c in ("road_id", "seq", "lane_id", "along", "distance")])
+
+
+def matched_poses(poses: DataFrame, segments: DataFrame, reach: float) -> DataFrame:
+    """match_poses for a table of poses: the same rows from grids whose cells follow the density, so a pose meets few segments wherever a reach's width holds many.
+
+    Places are searched once; a pose without a map, or with a null or non-finite place, has no segment.
+    """
+    found = ["road_id", "seq", "lane_id", "along", "d2"]
+    places = poses.filter("map_id IS NOT NULL AND abs(x) < double('infinity') AND abs(y) < double('infinity')").select("map_id", "x", "y").distinct()
+    near = nearest_segments(places.withColumn("point_id", F.struct("x", "y")), segments.select("map_id", "road_id", "seq", "lane_id", "x0", "y0", "x1", "y1"), ["road_id", "seq", "lane_id"], reach=reach)
+    met = poses.drop(*found).join(near.select("map_id", "x", "y", *found), ["map_id", "x", "y"], "left")
+    return met.select(*poses.columns, *found[:-1], F.col("d2").alias("distance"))
