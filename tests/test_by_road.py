@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__  # noqa: F401  (registers the queries)
-from roadlake.plans import road_queries
+from roadlake.plans import derived, road_queries
 from roadlake.plans.derived import ALL_KEYS
 
 SF = "/root/testdata/sf0.001"
@@ -36,3 +36,21 @@ def test_other_queries_keep_the_rule_of_joins(spark):
     assert spark.conf.get(ALL_KEYS) == "false"
     road_queries.QUERIES["sf24_decimated_strips"](spark, SF)
     assert spark.conf.get(ALL_KEYS) == "true"
+
+
+@pytest.mark.parametrize("name", ["jg9_topology", "jg5_successors", "sf10_lane_marks", "wg9_remaining_lengths", "io2_roads"])
+def test_large_tables_are_not_coalesced_by_narrow_rows(spark, monkeypatch, name):
+    """Tasks follow the records, not their bytes, and the multiplied rows stay in that deal."""
+    monkeypatch.setattr(derived, "RECORDS", 500)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    built = []
+    monkeypatch.setattr(derived, "dealt", lambda records, f=derived.dealt: built.append(f(records)) or built[-1])
+    try:
+        plan = road_queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    (records,) = built
+    n = -(-records.count() // 500)
+    assert n > 4 and records.rdd.getNumPartitions() == n
+    if name != "io2_roads":  # its plan reads the documents
+        assert f", {n}), REPARTITION_BY_NUM" in plan
