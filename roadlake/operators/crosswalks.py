@@ -49,9 +49,9 @@ def crosswalk_corners(crosswalks: DataFrame, widths: DataFrame, geometry: DataFr
     # One place for each object, as the middle line's transform is the same for its rings.
     places = asked.select(*OBJECT, "s").distinct().withColumns({"section_id": F.lit(0), "lane_id": F.lit(0)})
     level = elevation if elevation is not None else geometry.limit(0).select("map_id", "road_id", "s0", F.col("s0").alias("s1"), *[zero.alias(c) for c in "abcd"])
-    base = lane_transforms(places, widths, geometry, offsets, level).select(*OBJECT, F.col("s").alias("at_s"), "x", "y", "z", "yaw", "pitch")
-    same = [asked[c].eqNullSafe(base[c]) if c == "object_id" else asked[c] == base[c] for c in OBJECT]
-    met = asked.join(base, [*same, F.col("s") == F.col("at_s")]).select(*[asked[c] for c in RING], "across", "turn", "corners", "x", "y", "z", "yaw", "pitch")
+    base = lane_transforms(places, widths, geometry, offsets, level, few=True).select(*[F.col(c).alias(f"at_{c}") for c in (*OBJECT, "s")], "x", "y", "z", "yaw", "pitch")
+    same = [F.col(c).eqNullSafe(F.col(f"at_{c}")) if c == "object_id" else F.col(c) == F.col(f"at_{c}") for c in (*OBJECT, "s")]
+    met = asked.join(base, same).select(*RING, "across", "turn", "corners", "x", "y", "z", "yaw", "pitch")
     heading = F.col("yaw") - F.degrees("turn")
     pivot = transform_point(Vec(F.col("across"), zero, zero), Vec(F.col("x"), F.col("y"), F.col("z")), Rot(F.col("pitch"), heading - 90.0, zero))
     turned = met.withColumns({"px": pivot.x, "py": pivot.y, "pz": pivot.z, "yaw": heading})
