@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__  # noqa: F401  (registers the queries)
+from roadlake.operators import graph
 from roadlake.plans import derived, road_queries
 from roadlake.plans.derived import ALL_KEYS
 
@@ -54,3 +55,12 @@ def test_large_tables_are_not_coalesced_by_narrow_rows(spark, monkeypatch, name)
     assert n > 4 and records.rdd.getNumPartitions() == n
     if name != "io2_roads":  # its plan reads the documents
         assert f", {n}), REPARTITION_BY_NUM" in plan
+
+
+@pytest.mark.parametrize("name", ["jg6_waypoints_ahead", "jg7_waypoints_behind"])
+def test_edges_are_found_once(spark, monkeypatch, name):
+    """Rounds read the landed edges; none orders the lanes by their links again."""
+    kept = []
+    monkeypatch.setattr(graph, "cut", lambda d, f=graph.cut: kept.append(d._jdf.queryExecution().optimizedPlan().toString()) or f(d))
+    road_queries.QUERIES[name](spark, SF)
+    assert len(kept) > 2 and not [x for x in kept if "wanted" in x]
