@@ -39,7 +39,7 @@ def test_other_queries_keep_the_rule_of_joins(spark):
     assert spark.conf.get(ALL_KEYS) == "true"
 
 
-@pytest.mark.parametrize("name", ["jg9_topology", "jg5_successors", "sf10_lane_marks", "wg9_remaining_lengths", "io2_roads"])
+@pytest.mark.parametrize("name", ["jg9_topology", "jg5_successors", "sf10_lane_marks", "wg9_remaining_lengths", "lr16_nearest_lanes_at_signals", "io2_roads"])
 def test_large_tables_are_not_coalesced_by_narrow_rows(spark, monkeypatch, name):
     """Tasks follow the records, not their bytes, and the multiplied rows stay in that deal."""
     monkeypatch.setattr(derived, "RECORDS", 500)
