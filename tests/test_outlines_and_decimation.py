@@ -6,6 +6,9 @@ import math
 import numpy as np
 
 from roadlake.operators import crosswalks, decimate, signals
+from roadlake.plans import outline_queries, road_queries
+
+SF = "/root/testdata/sf0.001"
 
 GEOMETRY = "map_id int, road_id long, s0 double, s1 double, length double, x double, y double, hdg double, kind string, k0 double, k1 double, " + ", ".join(f"{a}{c} double" for a in "uv" for c in "abcd") + ", by_length boolean"
 RECORDS = "map_id int, road_id long, s0 double, s1 double, a double, b double, c double, d double"
@@ -141,6 +144,13 @@ def test_decimation(spark):
     assert all(d.count() == 0 for d in decimate.decimate(vertices, triangles, 0.001))
 
 
+def test_decimation_joins_no_triangle_with_its_corners_but_those_left(spark, monkeypatch):
+    met = []
+    monkeypatch.setattr(decimate, "with_corners", lambda triangles, *rest, f=decimate.with_corners: met.append(triangles.count()) or f(triangles, *rest))
+    n = road_queries.QUERIES["sf24_decimated_strips"](spark, SF).count()
+    assert met == [n] and 0 < n <= outline_queries.RATIO * 2 * spark.read.parquet(f"{SF}/lineitem.parquet").count()
+
+
 def test_references_for_lane_zero_go(spark):
     refs = spark.createDataFrame([(k, k) for k in (1, 2, 3, 4, 4, None)], "ref_id int, other int")
     validities = spark.createDataFrame([(1, 0, 0), (1, 0, 0), (2, 0, 0), (2, 0, -1), (4, None, 0), (None, 0, 0), (9, 0, 0)], "ref_id int, from_lane int, to_lane int")
