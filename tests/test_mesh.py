@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+import re
 
 from roadlake.operators import lookup, mesh, thinning
 
@@ -79,3 +80,21 @@ def test_in_bounds_is_strict(spark):
     points = [(0, 1, 50.0, -50.0), (0, 2, 0.0, -50.0), (0, 3, 50.0, -100.0), (0, 4, 50.0, 50.0), (1, 5, 50.0, -50.0), (0, 6, None, 1.0)]
     got = lookup.in_bounds(spark.createDataFrame(points, "map_id int, id int, x double, y double"), boxes, 30.0).collect()
     assert [(r.id, r.box_id) for r in got] == [(1, 7)]
+
+
+def test_rounds_of_thinning_shuffle_by_tiles(spark, monkeypatch):
+    """What a mark says to the 27 cells around it is made after the shuffle, in its tile; marks on both sides of a tile's border still meet."""
+    plans = []
+    monkeypatch.setattr(thinning, "cut", lambda df, f=thinning.cut: plans.append(df._jdf.queryExecution().executedPlan().toString()) or f(df))
+    edge = thinning.TILE * 2.5 * 1.001
+    places = [(1, edge + 1.0), (2, edge - 1.0), (3, edge - 3.0), (4, -1.0), (5, 1.0)]
+    marks = spark.createDataFrame([(m, k, x, y, 0.0) for m in (0, 1) for k, x in places for y in ([x] if k < 4 else [0.0])], "map_id int, mark_id int, x double, y double, z double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = sorted((r.map_id, r.mark_id) for r in thinning.dedupe_marks(marks, 2.5).collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # On the diagonal mark 2 is 2.83 m from 1 and 3; across x = 0 mark 5 is 2 m from 4.
+    assert got == [(m, k) for m in (0, 1) for k in (1, 2, 3, 4)]
+    dealt = [x for p in plans for x in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)]
+    assert dealt and all("tile" in x for x in dealt), dealt
