@@ -4,6 +4,8 @@ Merging a pre-token: every adjacent pair that has a merge rank waits in the buck
 left position in a linked list of parts. A two-level bitmap (words of 256 ranks, and a word of words) marks ranks with
 waiting pairs; find-first-set on each level gives the lowest rank. A popped position is stale, and skipped, if the pair
 there no longer has this rank. A merge costs a constant number of bitmap steps, so a very long pre-token is no problem.
+Short pre-tokens wait in the same kind of queue by blocks of adjacent ranks: no lower block waits anywhere, so the lowest pair of each pre-token
+in the block can be merged at once, in arrays.
 """
 
 from __future__ import annotations
@@ -24,6 +26,10 @@ CACHE = 100_000
 CACHED_CHARS = 64
 #: Bytes of unknown pre-tokens that are merged together.
 GROUP_BYTES = 500_000
+#: Pre-tokens of at most so many bytes are merged in arrays, one pair of each in a step.
+SHORT_BYTES = 64
+#: Ranks in a block of the short pre-tokens' queue, as a power of two, and blocks in a word of its bitmap.
+BLOCK_BITS, WORD_BITS = 8, 5
 
 
 def read_ranks(lines: list[bytes]) -> dict[bytes, int]:
@@ -130,6 +136,80 @@ def merge_words(pre_tokens: list[bytes], ranks: dict[bytes, int]) -> list[list[i
     return out
 
 
+class Pairs:
+    """Ranks of adjacent tokens by their two ids: every way to cut a token into two tokens."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        self.n = max(ranks.values()) + 1  # an id that no token has
+        self.single = np.array([ranks[bytes([c])] for c in range(256)])
+        cuts = [(a * (self.n + 1) + b, r) for t, r in ranks.items() for i in range(1, len(t)) if (a := ranks.get(t[:i])) is not None and (b := ranks.get(t[i:])) is not None]
+        found = np.array(sorted(cuts) or np.empty((0, 2)), np.int64)
+        self.codes, self.ranks = np.append(found[:, 0], np.iinfo(np.int64).max), np.append(found[:, 1], -1)
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair; -1: none."""
+        code = left * (self.n + 1) + right
+        at = np.searchsorted(self.codes, code)
+        return np.where(self.codes[at] == code, self.ranks[at], -1)
+
+
+def merge_short(pre_tokens: list[bytes], pairs: Pairs) -> list[list[int]]:
+    """merge_words for short pre-tokens: from the lowest block of ranks, the lowest pair of each pre-token, leftmost first among equals.
+
+    One linked list, with an end that is no token before and after each pre-token. What a pre-token has left in the block waits on, so a lower pair made by the merge goes first.
+    """
+    sizes = np.fromiter(map(len, pre_tokens), np.int64, len(pre_tokens))
+    stops = np.cumsum(sizes + 1)  # the end after each pre-token; the first one's other end is at 0
+    n = int(stops[-1]) + 1 if len(stops) else 1
+    text = np.frombuffer(b"\0" + b"".join([w + b"\0" for w in pre_tokens]), np.uint8)
+    token = pairs.single[text]
+    token[0] = token[stops] = pairs.n
+    own = np.repeat(np.arange(len(sizes) + 1), np.append(1, sizes + 1))
+    alive = token != pairs.n
+    after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+    pair = np.append(pairs(token[:-1], token[1:]), -1)
+
+    # queue: block -> arrays of left positions; words: the bitmap of blocks; top: the bitmap of non-zero words
+    queue: list[list[np.ndarray]] = [[] for _ in range((pairs.n >> BLOCK_BITS) + 1)]
+    words = [0] * ((len(queue) >> WORD_BITS) + 1)
+    top = 0
+    in_word, in_block = (1 << WORD_BITS) - 1, (1 << BLOCK_BITS) - 1
+    waiting = np.flatnonzero(pair >= 0)
+    while True:
+        blocks = pair[waiting] >> BLOCK_BITS
+        order = np.argsort(blocks, kind="stable")
+        blocks, waiting = blocks[order], waiting[order]
+        starts = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1])[: len(blocks)]).tolist()
+        for c, a, z in zip(blocks[starts].tolist(), starts, [*starts[1:], len(blocks)], strict=False):
+            queue[c].append(waiting[a:z])
+            words[c >> WORD_BITS] |= 1 << (c & in_word)
+            top |= 1 << (c >> WORD_BITS)
+        if not top:
+            break
+        w = (top & -top).bit_length() - 1
+        bits = words[w]
+        b = w << WORD_BITS | (bits & -bits).bit_length() - 1
+        i = np.concatenate(queue[b])
+        queue[b] = []
+        words[w] = bits & bits - 1
+        if not words[w]:
+            top &= top - 1
+        i = i[pair[i] >> BLOCK_BITS == b]  # the others are stale: one of the parts has been merged since
+        key = np.sort((own[i] << BLOCK_BITS | pair[i] & in_block) << n.bit_length() | i)
+        whose, key = key >> n.bit_length() + BLOCK_BITS, key & (1 << n.bit_length()) - 1
+        first = np.append(True, whose[1:] != whose[:-1])[: len(key)]
+        i, rest = key[first], key[~first]
+        j, rank = after[i], pair[i]
+        h, k = before[i], after[j]
+        token[i], after[i], before[k], alive[j], pair[j] = rank, k, i, False, -1
+        made = pairs(np.append(token[h], rank), np.append(rank, token[k]))
+        pair[h], pair[i] = made[: len(i)], made[len(i) :]
+        waiting = np.concatenate([np.append(h, i)[made >= 0], rest[pair[rest] >= 0]])
+    ids = token[alive].tolist()
+    ends = np.append(0, np.cumsum(alive)[stops]).tolist()
+    return [ids[a:z] for a, z in zip(ends, ends[1:], strict=False)]
+
+
 class Encoder:
     """Pre-tokenises by a pattern and merges each match separately; remembers short pre-tokens within a bound.
 
@@ -140,8 +220,9 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         import regex
 
-        self.ranks = ranks
+        self.ranks, self.pairs = ranks, Pairs(ranks)
         self.bytes_of = {v: k for k, v in ranks.items()}
+        self.names = {v: str(v) for v in ranks.values()}
         self.find = regex.compile(pattern).findall
         self.new: dict[str, tuple[list[int], str, int, bytes]] = {}
         self.old: dict[str, tuple[list[int], str, int, bytes]] = {}
@@ -153,21 +234,25 @@ class Encoder:
         new, old = self.new, self.old
         split = [self.find(t) for t in texts]
         unknown = []
-        for w in {w for part in split for w in part if w not in new}:
+        for w in set().union(*split):
+            if w in new:
+                continue
             if w in old:
                 new[w] = old[w]
             else:
                 unknown.append(w)
-        at = 0
-        while at < len(unknown):
-            group, size = [], 0
-            while at < len(unknown) and size < GROUP_BYTES:
-                group.append(unknown[at].encode())
-                size += len(group[-1])
-                at += 1
-            for w, ids in zip(unknown[at - len(group) : at], merge_words(group, self.ranks), strict=True):
-                new[w] = ids, ",".join(map(str, ids)), len(ids), self.decode(ids)
-        out = [[new[w] for w in part] for part in split]
+        coded = [(w, w.encode()) for w in unknown]
+        for merge, table, some in ((merge_short, self.pairs, [x for x in coded if len(x[1]) <= SHORT_BYTES]), (merge_words, self.ranks, [x for x in coded if len(x[1]) > SHORT_BYTES])):
+            at = 0
+            while at < len(some):
+                group, size = [], 0
+                while at < len(some) and size < GROUP_BYTES:
+                    group.append(some[at][1])
+                    size += len(group[-1])
+                    at += 1
+                for (w, _), ids in zip(some[at - len(group) : at], merge(group, table), strict=True):
+                    new[w] = ids, ",".join([self.names[x] for x in ids]), len(ids), self.decode(ids)
+        out = [list(map(new.__getitem__, part)) for part in split]
         for w in unknown:
             if len(w) > CACHED_CHARS:
                 del new[w]
@@ -207,9 +292,10 @@ def encode_table(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str]
         e = encoder(ranks_path, pattern)
         made: list[list] = [[] for _ in out]
         for pieces in e.pieces([b.decode("utf-8", "replace") for b in texts]):
-            row = [sum([p[2] for p in pieces]), hashlib.sha256(",".join([p[1] for p in pieces]).encode()).hexdigest(), hashlib.sha256(b"".join([p[3] for p in pieces])).hexdigest()]
+            ids, decimal, n, decoded = zip(*pieces, strict=True) if pieces else ((), (), (), ())
+            row = [sum(n), hashlib.sha256(",".join(decimal).encode()).hexdigest(), hashlib.sha256(b"".join(decoded)).hexdigest()]
             if return_ids:
-                row.append([i for p in pieces for i in p[0]])
+                row.append([i for part in ids for i in part])
             for column, value in zip(made, row, strict=True):
                 column.append(value)
         return made

@@ -326,6 +326,22 @@ def brute_templates(words):
                 yield label, same / len(template)
 
 
+def test_short_pre_tokens_merge_in_few_steps(monkeypatch):
+    """merge_short equals the one-by-one queue, and its steps follow the blocks of ranks, not the pre-tokens."""
+    rng = np.random.default_rng(3)
+    ranks = {bytes([c]): c for c in range(256)} | {b"aa": 400, b"aaa": 300, b"ab": 257, b"aab": 2000, b"ba": 299, b"aabb": 259, b"bb": 900}
+    words = [bytes(rng.choice([97, 98, 99], size=rng.integers(0, 64)).astype(np.uint8)) for _ in range(3000)] + [b"a" * k for k in range(65)]
+    pairs = byte_bpe.Pairs(ranks)
+    assert byte_bpe.merge_short(words, pairs) == byte_bpe.merge_words(words, ranks)
+    assert byte_bpe.merge_short([], pairs) == [] and byte_bpe.merge_short([b"", b"a"], pairs) == [[], [97]]
+    e = byte_bpe.Encoder(ranks, r"\S+")
+    met, alone = [], []
+    monkeypatch.setattr(byte_bpe, "merge_short", lambda w, p, f=byte_bpe.merge_short: met.extend(w) or f(w, p))
+    monkeypatch.setattr(byte_bpe, "merge_words", lambda w, r, f=byte_bpe.merge_words: alone.extend(w) or f(w, r))
+    assert e.decode(e.encode("ab aab " + "ab" * 40)) == b"abaab" + b"ab" * 40
+    assert sorted(met) == [b"aab", b"ab"] and alone == [b"ab" * 40]
+
+
 def test_licenses(spark, odd, none, docs):
     got = queries.op8_license_index(spark, SF).toPandas().merge(docs, on="doc_id")
     for r in got.itertuples():
