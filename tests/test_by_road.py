@@ -64,3 +64,14 @@ def test_edges_are_found_once(spark, monkeypatch, name):
     monkeypatch.setattr(graph, "cut", lambda d, f=graph.cut: kept.append(d._jdf.queryExecution().optimizedPlan().toString()) or f(d))
     road_queries.QUERIES[name](spark, SF)
     assert len(kept) > 2 and not [x for x in kept if "wanted" in x]
+
+
+def test_nearest_lanes_are_found_where_the_road_lies(spark):
+    """Points at which lanes are compared are not shuffled again: nothing is dealt by anything but the road."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        plan = road_queries.QUERIES["lr16_nearest_lanes_at_signals"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert dealt and all(re.fullmatch(r"(o_orderkey|road_id)#\d+L, 4", x) for x in dealt)
