@@ -137,7 +137,7 @@ def chi2_quantile(p: int, prob: float) -> float:
 
 
 _ARRAY = T.ArrayType(T.DoubleType())
-_PARAMS = T.StructType([T.StructField("g", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("m", _ARRAY), T.StructField("cov", _ARRAY), T.StructField("w", _ARRAY), T.StructField("logdet", T.DoubleType())])
+_PARAMS = T.StructType([T.StructField("g", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("m", _ARRAY), T.StructField("cov", _ARRAY), T.StructField("w", _ARRAY), T.StructField("logdet", T.DoubleType()), T.StructField("s", _ARRAY), T.StructField("was", T.DoubleType())])
 
 
 def _moments(rows: DataFrame) -> DataFrame:
@@ -157,7 +157,7 @@ def whitening(cov: np.ndarray) -> tuple[np.ndarray, float]:
 
 
 def _estimate(moments: DataFrame) -> DataFrame:
-    """Centre, covariance, whitening matrix and determinant of each group and start, from its sums and robust spreads s."""
+    """Centre, covariance, whitening matrix and determinant of each group and start, from its sums and robust spreads s; s and the determinant before (was) come through."""
     floors = np.array([FLOORS[f] for f in FEATURES])
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -175,8 +175,8 @@ def _estimate(moments: DataFrame) -> DataFrame:
                 cov[constant, constant] = floors[constant] ** 2
                 cov[np.diag_indices(p)] = np.maximum(np.diag(cov), RIDGE * RIDGE)
                 white, logdet = whitening(cov)
-                out.append((r["g"], r["start"], r["n"], mean.tolist(), cov.ravel().tolist(), white.ravel().tolist(), logdet))
-            yield pd.DataFrame(out, columns=["g", "start", "n", "m", "cov", "w", "logdet"])
+                out.append((r["g"], r["start"], r["n"], mean.tolist(), cov.ravel().tolist(), white.ravel().tolist(), logdet, list(r["s"]), r.get("was")))
+            yield pd.DataFrame(out, columns=["g", "start", "n", "m", "cov", "w", "logdet", "s", "was"])
 
     return moments.mapInPandas(run, _PARAMS)
 
@@ -235,6 +235,7 @@ def fit(stats: DataFrame, prior_rows: float = PRIOR_ROWS, max_steps: int = MAX_S
     groups = cut(good.select("g_own", "g_lang").distinct())
     n_groups = 3 * groups.count() + 1
     # One row per estimate, below Python, which starts once a partition. An exchange of its own: sketches and sums are merged in the shuffle's partitions before it.
+    # Only there: each stage and each broadcast table of a step takes a block of some MB of the driver's heap, however few its rows.
     few = lambda df: df.repartition(ceil(n_groups / TASK_GROUPS))
     rows = cut(good.filter("good").select(F.explode(F.array("g_own", "g_lang", F.lit("all"))).alias("g"), *FEATURES))
 
@@ -252,23 +253,24 @@ def fit(stats: DataFrame, prior_rows: float = PRIOR_ROWS, max_steps: int = MAX_S
         return rows.join(small_or_not(of.select("g", "start", "m", "w"), 2 * n_groups), "g").withColumn("d2", _distance())
 
     settled = falling.limit(0).select("g", "start", "m", "w", "logdet")
+    falling = falling.join(spreads, "g")
     for _ in range(max_steps):  # only estimates whose determinant still falls are stepped again
         at = distances(falling)
-        half = few(at.groupBy("g", "start").agg(F.percentile_approx("d2", 0.5, 10_000).alias("h")))
+        half = at.groupBy("g", "start").agg(F.percentile_approx("d2", 0.5, 10_000).alias("h"))
         inner = at.join(small_or_not(half, 2 * n_groups), ["g", "start"]).filter("d2 <= h")
-        before = falling.select("g", "start", F.col("logdet").alias("was"))
-        params = cut(_estimate(few(_moments(inner).join(spreads, "g"))).join(small_or_not(before, 2 * n_groups), ["g", "start"]))
+        before = small_or_not(falling.select("g", "start", "s", F.col("logdet").alias("was")), 2 * n_groups)
+        params = cut(_estimate(few(_moments(inner)).join(before, ["g", "start"])))
         on = F.col("was") - F.col("logdet") > SETTLED
         settled = settled.unionByName(params.filter(~on).select("g", "start", "m", "w", "logdet"))
-        falling = params.filter(on).select("g", "start", "m", "w", "logdet")
-        if not falling.limit(1).count():
+        falling = params.filter(on).select("g", "start", "m", "w", "logdet", "s")
+        if falling.isEmpty():
             break
-    best = settled.unionByName(falling).withColumn("place", F.row_number().over(W.partitionBy("g").orderBy("logdet", "start"))).filter("place = 1").select("g", "start", "m", "w")
+    best = settled.unionByName(falling.drop("s")).withColumn("place", F.row_number().over(W.partitionBy("g").orderBy("logdet", "start"))).filter("place = 1").select("g", "start", "m", "w")
     at = distances(cut(few(best)))
     # The half's covariance is too small; the median distance, to which constant statistics add nothing, says by how much. It never shrinks the spread.
     medians = F.array(F.lit(1.0), *[F.lit(chi2_quantile(k, 0.5)) for k in range(1, p + 1)])
     moving = F.size(F.filter("s", lambda x: x >= RIDGE))
-    scale = few(at.groupBy("g").agg(F.percentile_approx("d2", 0.5, 10_000).alias("h"))).join(spreads, "g").select("g", F.greatest(F.lit(1.0), F.col("h") / F.element_at(medians, moving + 1)).alias("scale"))
+    scale = at.groupBy("g").agg(F.percentile_approx("d2", 0.5, 10_000).alias("h")).join(spreads, "g").select("g", F.greatest(F.lit(1.0), F.col("h") / F.element_at(medians, moving + 1)).alias("scale"))
     inner = at.join(small_or_not(scale, n_groups), "g").filter(F.col("d2") / F.col("scale") <= chi2_quantile(p, 0.975))
     final = cut(_estimate(few(_moments(inner).join(spreads, "g"))).select("g", "n", "m", "cov"))
     level = lambda name: small_or_not(final.select(F.col("g").alias(f"g_{name}"), F.col("n").alias(f"n_{name}"), F.col("m").alias(f"m_{name}"), F.col("cov").alias(f"cov_{name}")), n_groups)

@@ -77,6 +77,15 @@ def test_mcd_resists_outliers(spark):
     assert dict(zip(got.bad, got.k)) == {True: 0.0, False: 1.0}
 
 
+def test_mcd_steps_have_few_stages(spark, docs, monkeypatch):
+    """A step gathers its estimates once, before Python: each stage costs the driver memory."""
+    plans = []
+    monkeypatch.setattr(quality_mcd, "cut", lambda d, f=quality_mcd.cut: plans.append(d._jdf.queryExecution().optimizedPlan().toString()) or f(d))
+    quality_mcd.fit(quality_mcd.text_statistics(spark.read.parquet(f"{SF}/documents.parquet"), ["lang", "source"]), max_steps=1)
+    (step,) = [p for p in plans if "percentile_approx(d2" in p and " AS was#" in p]
+    assert step.count("Repartition ") == 1
+
+
 def test_mcd_covariance_sets_the_distance(spark):
     """Rows far outside their group's own narrow, correlated cloud are rejected, though within the floors of its centre."""
     rng = np.random.default_rng(5)
