@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from roadlake.functions.scalar import Rot, Vec, transform_point
 from roadlake.operators.reference_line import lane_transforms
@@ -30,9 +31,10 @@ def crosswalk_rings(crosswalks: DataFrame) -> DataFrame:
         closes = (i > s["start"]) & own.eqNullSafe(here)
         return F.struct(F.when(closes, i + 1).otherwise(s["start"]).alias("start"), F.when(closes, F.concat(s["rings"], F.array(F.struct(s["start"].alias("first"), (i - 1).alias("last"))))).otherwise(s["rings"]).alias("rings"))
 
-    known = crosswalks.withColumn("known", F.filter("corners", lambda c: c.isNotNull())).filter(F.size("known") > 0)
+    # From an array, and outer: else the optimizer takes all of this into filters, with the corners made anew at each step.
+    known = crosswalks.withColumn("known", F.explode(F.array(F.filter("corners", lambda c: c.isNotNull())))).filter(F.size("known") > 0)
     rings = F.aggregate(at, state, step)["rings"]
-    out = known.withColumn("rings", rings).select(*[c for c in known.columns if c != "corners"], F.posexplode("rings").alias("ring", "r"))
+    out = known.withColumn("rings", rings).select(*[c for c in known.columns if c != "corners"], F.posexplode_outer("rings").alias("ring", "r"))
     out = out.withColumns({"first": F.col("r.first"), "last": F.col("r.last")}).filter("last - first >= 2").drop("r")
     return out.withColumnRenamed("known", "corners")
 
@@ -46,8 +48,8 @@ def crosswalk_corners(crosswalks: DataFrame, widths: DataFrame, geometry: DataFr
     rings = crosswalk_rings(crosswalks.select(*OBJECT, "s", "t", "hdg", "corners"))
     zero = F.lit(0.0)
     asked = rings.select(*RING, F.col("s").cast("double").alias("s"), F.coalesce("t", zero).alias("across"), F.coalesce("hdg", zero).alias("turn"), F.slice("corners", F.col("first") + 1, F.col("last") - F.col("first") + 1).alias("corners"))
-    # One place for each object, as the middle line's transform is the same for its rings.
-    places = asked.select(*OBJECT, "s").distinct().withColumns({"section_id": F.lit(0), "lane_id": F.lit(0)})
+    # One place for each object, as the middle line's transform is the same for its rings; not from the rings, which would be found twice.
+    places = crosswalks.select(*OBJECT, F.col("s").cast("double").alias("s")).distinct().withColumns({"section_id": F.lit(0), "lane_id": F.lit(0)})
     level = elevation if elevation is not None else geometry.limit(0).select("map_id", "road_id", "s0", F.col("s0").alias("s1"), *[zero.alias(c) for c in "abcd"])
     base = lane_transforms(places, widths, geometry, offsets, level, few=True).select(*[F.col(c).alias(f"at_{c}") for c in (*OBJECT, "s")], "x", "y", "z", "yaw", "pitch")
     same = [F.col(c).eqNullSafe(F.col(f"at_{c}")) if c == "object_id" else F.col(c) == F.col(f"at_{c}") for c in (*OBJECT, "s")]
@@ -66,3 +68,13 @@ def fan_triangles(corners: DataFrame, keys: list[str]) -> DataFrame:
     last = corners.groupBy(*keys).agg(F.max("vertex").alias("last")).filter("last >= 2")
     tri = last.withColumn("tri", F.explode(F.sequence(F.lit(0), F.col("last") - 2)))
     return tri.select(*keys, "tri", F.lit(0).alias("a"), (F.col("tri") + 1).alias("b"), (F.col("tri") + 2).alias("c"))
+
+
+def fans(corners: DataFrame, keys: list[str]) -> DataFrame:
+    """fan_triangles with the places of their corners (ax, ay, bx, by, cx, cy). corners: keys, vertex from 0 without gaps, x, y.
+
+    A corner knows the first and the next one of its group, so the corners are made and read once.
+    """
+    along = W.partitionBy(*keys).orderBy("vertex")
+    met = corners.select(*keys, "vertex", *[F.col(c).alias(f"b{c}") for c in "xy"], *[F.first(c).over(along).alias(f"a{c}") for c in "xy"], *[F.lead(c).over(along).alias(f"c{c}") for c in "xy"], F.lead("vertex").over(along).alias("c"))
+    return met.filter("vertex > 0 AND c IS NOT NULL").select(*keys, (F.col("vertex") - 1).alias("tri"), F.lit(0).alias("a"), F.col("vertex").alias("b"), "c", "ax", "ay", "bx", "by", "cx", "cy")

@@ -157,3 +157,20 @@ def test_references_for_lane_zero_go(spark):
     got = sorted((r.ref_id or 0) for r in signals.drop_zero_validity(refs, validities).collect())
     assert got == [0, 2, 3]
     assert signals.drop_zero_validity(refs, validities.limit(0)).count() == 6
+
+
+def test_fans_take_corners_once(spark):
+    """The triangles of fan_triangles with their corners' places, from one pass over the corners; the search for rings is in no filter."""
+    rows = [(g, v, float(g + v * v), float(v * g)) for g in range(5) for v in range(g + 1)]
+    table = spark.createDataFrame(rows, "g int, vertex int, x double, y double")
+    place = {(g, v): (x, y) for g, v, x, y in rows}
+    want = {(t.g, t.tri, t.a, t.b, t.c, *place[t.g, t.a], *place[t.g, t.b], *place[t.g, t.c]) for t in crosswalks.fan_triangles(table, ["g"]).collect()}
+    met = crosswalks.fans(table, ["g"])
+    assert {tuple(t) for t in met.collect()} == want and len(want) == 1 + 2 + 3
+    assert "Join" not in met._jdf.queryExecution().optimizedPlan().toString()
+
+    square = "array(named_struct('u', 0e0, 'v', 0e0, 'z', 0e0), named_struct('u', 1e0, 'v', 0e0, 'z', 0e0), named_struct('u', 1e0, 'v', rand(), 'z', 0e0), named_struct('u', 0e0, 'v', 0e0, 'z', 0e0))"
+    walks = spark.range(3).selectExpr("1 AS map_id", "id AS road_id", "0 AS object_id", f"{square.replace('rand()', 'id + 1e0')} AS corners")
+    found = crosswalks.crosswalk_rings(walks)
+    filters = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in line and "aggregate(" in line]
+    assert not filters and [(r.road_id, r.ring, r["first"], r["last"]) for r in found.orderBy("road_id").collect()] == [(i, 0, 0, 2) for i in range(3)]
