@@ -57,3 +57,13 @@ def test_outer_lanes_and_short_ones(road):
     assert {r.lane_id for r in got} == {-2, 2}
     none = segments.lane_segments(lanes.withColumn("s1", F.col("s0")), widths, geometry)
     assert none.count() == 0
+
+
+def test_samples_and_pieces_stay_where_the_roads_are(spark):
+    """Only records are shuffled, by road or order: neither samples by lane nor pieces after a union."""
+    from roadlake.plans import road_queries
+
+    made = road_queries.QUERIES["wg8_lane_segments"](spark, "/root/testdata/sf0.001")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert shuffles and not [line for line in shuffles if "lane_id" in line] and "Union" not in plan
