@@ -67,3 +67,13 @@ def test_samples_and_pieces_stay_where_the_roads_are(spark):
     plan = made._jdf.queryExecution().executedPlan().toString()
     shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
     assert shuffles and not [line for line in shuffles if "lane_id" in line] and "Union" not in plan
+
+
+def test_few_places_are_walked_once_in_batches(spark, road):
+    """The walk stands once in the plan, as a step over batches and not as a fold of each place, and gives the places of the table of pieces."""
+    points = road[2].select("map_id", "road_id", (F.col("s0") + F.col("length") * 0.7).alias("s"))
+    few, many = (reference_line.road_points(points, road[2], few=f) for f in (True, False))
+    plan = few._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "aggregate(" not in plan.split("ArrowEvalPython")[1]
+    key = lambda d: sorted((r.map_id, r.s, round(r.x, 9), round(r.y, 9), round(r.hdg, 9)) for r in d.collect())
+    assert key(few) == key(many) and few.count() == 4
